@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pageatlas.llm import boilerplate, clusters, pii, terms
 from pageatlas.llm import vectors as vec
 from pageatlas.session import table
 
 
+def p2_found(spark, sf_dir):
+    return terms.term_weights(table(spark, sf_dir, "focuses"), min_records=2, max_records=5).select("focus_id", "term")
+
+
+def p2_weights(spark, sf_dir):
+    w = terms.term_weights(table(spark, sf_dir, "focuses"))
+    return w.select("focus_id", "term", "tf", "records", F.round("weight", 6).alias("weight"))
+
+
+def p3_found(spark, sf_dir):
+    return boilerplate.furniture_lines(table(spark, sf_dir, "versions"))
+
+
 def p5_found(spark, sf_dir):
     near = vec.most_similar(vec.usable_vectors(table(spark, sf_dir, "focus_vectors")))
     return near.select(
@@ -15,5 +29,52 @@ def p5_found(spark, sf_dir):
     ).distinct()
 
 
-QUERIES = {"p5_found": p5_found}
-ORACLES: dict[str, str] = {}
+def p6_found(spark, sf_dir):
+    return pii.personal_information(*(table(spark, sf_dir, t) for t in ("versions", "extractions", "people")))
+
+
+def _clustered(spark, sf_dir):
+    return clusters.similarity_clusters(vec.usable_vectors(table(spark, sf_dir, "focus_vectors")))
+
+
+def p7_found(spark, sf_dir):
+    member = _clustered(spark, sf_dir).select("id", "cluster")
+    pairs = table(spark, sf_dir, "focus_pairs").select("id_a", "id_b").distinct()
+    a = member.select(F.col("id").alias("id_a"), F.col("cluster").alias("cluster_a"))
+    b = member.select(F.col("id").alias("id_b"), F.col("cluster").alias("cluster_b"))
+    return pairs.join(a, "id_a").join(b, "id_b").where("cluster_a = cluster_b").select("id_a", "id_b")
+
+
+def p7_clusters(spark, sf_dir):
+    return clusters.cluster_report(_clustered(spark, sf_dir), table(spark, sf_dir, "focuses"))
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_weights": p2_weights,
+    "p3_found": p3_found,
+    "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p7_found": p7_found,
+    "p7_clusters": p7_clusters,
+}
+_TERMS = r"""
+WITH rows AS (SELECT DISTINCT focus_id, summary, tags FROM focuses WHERE focus_id IS NOT NULL),
+tag_terms AS (
+  SELECT focus_id, trim(regexp_replace(nfc_normalize(lower(nfc_normalize(t))), '[\s\p{Z}_‐‑-]+', ' ', 'g')) AS term
+  FROM (SELECT focus_id, unnest(tags) AS t FROM rows) WHERE t IS NOT NULL),
+words AS (
+  SELECT focus_id, unnest(regexp_extract_all(nfc_normalize(lower(nfc_normalize(summary))), '\p{L}{4,}')) AS term FROM rows),
+counts AS (
+  SELECT focus_id, term, count(*) AS tf FROM (SELECT * FROM tag_terms WHERE term <> '' UNION ALL SELECT * FROM words)
+  GROUP BY focus_id, term),
+stats AS (
+  SELECT term, count(*) AS records,
+         1 - (ln(sum(tf)) - sum(tf * ln(tf)) / sum(tf)) / ln(greatest((SELECT count(DISTINCT focus_id) FROM rows), 2)) AS g
+  FROM counts GROUP BY term)
+"""
+ORACLES: dict[str, str] = {
+    "p2_found": _TERMS + "SELECT focus_id, term FROM counts JOIN stats USING (term) WHERE records BETWEEN 2 AND 5",
+    "p2_weights": _TERMS
+    + "SELECT focus_id, term, tf, records, round(ln(1 + tf) * g, 6) AS weight FROM counts JOIN stats USING (term)",
+}
