@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageatlas.functions.arrow import arrow_function
+
 STRIP = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
 LINES = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 
@@ -40,7 +42,7 @@ def fold(text: str) -> str:
     return text.lower() if text.isascii() else unicodedata.normalize("NFC", text.casefold())
 
 
-@F.pandas_udf("struct<attrs:string,place:string>")
+@arrow_function("struct<attrs:string,place:string>")
 def directory_keys(
     name: pd.Series, city: pd.Series, state: pd.Series, country: pd.Series
 ) -> pd.DataFrame:
@@ -53,6 +55,6 @@ def directory_keys(
     return pd.DataFrame({"attrs": attrs, "place": place})
 
 
-@F.pandas_udf("string")
+@arrow_function("string")
 def casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else fold(v))
