@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder, so that losing an executor loses nothing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and read it back.
+
+    Lineage ends there, so that losing an executor loses nothing; and what follows is planned by the
+    table's true size, while a checkpoint carries its plan's estimate on, which rounds of joins square
+    each time. ``replaces``: an earlier result of this function that nothing reads any more.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/pageatlas-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._durable_path = path
+    if (old := getattr(replaces, "_durable_path", None)) is not None:
+        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    return out
