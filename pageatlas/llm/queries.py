@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageatlas.llm import boilerplate, clusters, pii, terms
+from pageatlas.llm import boilerplate, clusters, mixing, packing, pii, quality, terms, tokens
 from pageatlas.llm import vectors as vec
-from pageatlas.session import table
+from pageatlas.session import durable, table
 
 
 def p2_found(spark, sf_dir):
@@ -49,6 +49,47 @@ def p7_clusters(spark, sf_dir):
     return clusters.cluster_report(_clustered(spark, sf_dir), table(spark, sf_dir, "focuses"))
 
 
+def p3_main_text(spark, sf_dir):
+    return boilerplate.main_text(table(spark, sf_dir, "versions"))
+
+
+def p6_redacted(spark, sf_dir):
+    versions = table(spark, sf_dir, "versions").select("version_id", "text_md").distinct()
+    given = pii.given_names(table(spark, sf_dir, "people"))
+    return versions.select("version_id", pii.redacted(F.col("text_md"), given).alias("text_md"))
+
+
+def _sized(spark, sf_dir):
+    return durable(tokens.sized_documents(table(spark, sf_dir, "documents")))
+
+
+def p8_pack(spark, sf_dir):
+    return packing.pack(_sized(spark, sf_dir), table(spark, sf_dir, "pack_capacities"))
+
+
+def p8_report(spark, sf_dir):
+    capacities = table(spark, sf_dir, "pack_capacities")
+    return packing.pack_report(packing.pack(_sized(spark, sf_dir), capacities), capacities)
+
+
+def p9_mix(spark, sf_dir):
+    return mixing.mix_sources(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark, sf_dir):
+    sized, targets = _sized(spark, sf_dir), table(spark, sf_dir, "mix_targets")
+    return mixing.mix_report(mixing.mix_sources(sized, targets), mixing.source_budgets(sized, targets))
+
+
+def p10_found(spark, sf_dir):
+    kinds = quality.classified_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+    return kinds.where("kind <> 'prose'").select("doc_id")
+
+
+def p10_statistics(spark, sf_dir):
+    return quality.quality_statistics(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_weights": p2_weights,
@@ -57,6 +98,14 @@ QUERIES = {
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_clusters": p7_clusters,
+    "p3_main_text": p3_main_text,
+    "p6_redacted": p6_redacted,
+    "p8_pack": p8_pack,
+    "p8_report": p8_report,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_statistics": p10_statistics,
 }
 _TERMS = r"""
 WITH rows AS (SELECT DISTINCT focus_id, summary, tags FROM focuses WHERE focus_id IS NOT NULL),
@@ -77,4 +126,22 @@ ORACLES: dict[str, str] = {
     "p2_found": _TERMS + "SELECT focus_id, term FROM counts JOIN stats USING (term) WHERE records BETWEEN 2 AND 5",
     "p2_weights": _TERMS
     + "SELECT focus_id, term, tf, records, round(ln(1 + tf) * g, 6) AS weight FROM counts JOIN stats USING (term)",
+    "p10_statistics": r"""
+WITH words AS (SELECT list(DISTINCT lower(word)) AS cw FROM common_words WHERE word IS NOT NULL),
+docs AS (SELECT doc_id, min(text) AS text FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id),
+parts AS (
+  SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{M}]+') AS w,
+         list_filter(regexp_split_to_array(text, '\r\n|[\n\r]'), lambda x: length(trim(x)) > 0) AS l
+  FROM docs WHERE text IS NOT NULL)
+SELECT d.doc_id, len(w)::BIGINT AS n_words,
+  CASE WHEN text IS NULL OR d.text IS NULL THEN NULL WHEN len(w) = 0 THEN 0.0
+       ELSE round(list_sum(list_transform(w, lambda x: length(x))) / len(w), 6) END AS mean_word_length,
+  CASE WHEN d.text IS NULL THEN NULL WHEN length(d.text) = 0 THEN 0.0
+       ELSE round(length(regexp_replace(d.text, '[\p{L}\p{M}\p{N}\s]', '', 'g')) / length(d.text), 6) END AS symbol_ratio,
+  CASE WHEN d.text IS NULL THEN NULL WHEN len(l) = 0 THEN 0.0
+       ELSE round(len(list_filter(l, lambda x: regexp_matches(rtrim(x), '[.!?…:]$'))) / len(l), 6) END AS punctuated_lines,
+  CASE WHEN d.text IS NULL THEN NULL WHEN len(w) = 0 THEN 0.0
+       ELSE round(len(list_filter(w, lambda x: list_contains((SELECT cw FROM words), x))) / len(w), 6) END AS common_share
+FROM docs d LEFT JOIN (SELECT doc_id, w, l FROM parts) p USING (doc_id)
+""".replace("text IS NULL OR d.text", "d.text"),
 }
