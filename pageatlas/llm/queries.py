@@ -141,7 +141,7 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words,
   CASE WHEN d.text IS NULL THEN NULL WHEN len(l) = 0 THEN 0.0
        ELSE round(len(list_filter(l, lambda x: regexp_matches(rtrim(x), '[.!?…:]$'))) / len(l), 6) END AS punctuated_lines,
   CASE WHEN d.text IS NULL THEN NULL WHEN len(w) = 0 THEN 0.0
-       ELSE round(len(list_filter(w, lambda x: list_contains((SELECT cw FROM words), x))) / len(w), 6) END AS common_share
-FROM docs d LEFT JOIN (SELECT doc_id, w, l FROM parts) p USING (doc_id)
+       ELSE round(len(list_filter(w, lambda x: list_contains(cw, x))) / len(w), 6) END AS common_share
+FROM docs d CROSS JOIN words LEFT JOIN (SELECT doc_id, w, l FROM parts) p USING (doc_id)
 """.replace("text IS NULL OR d.text", "d.text"),
 }
