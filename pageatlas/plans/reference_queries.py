@@ -394,7 +394,7 @@ def e8_explode_focuses(spark, sf_dir):
     )
 
 
-@query("SELECT prompt_version, count(*) AS candidates, count(*) FILTER (json_valid(json) AND json_type(json, '$.focuses') = 'ARRAY') AS readable FROM (SELECT DISTINCT version_id, prompt_version, json FROM extractions) GROUP BY 1")
+@query("SELECT prompt_version, count(*) AS candidates, count(*) FILTER (json_type(CASE WHEN json_valid(json) THEN json ELSE '{}' END, '$.focuses') = 'ARRAY') AS readable FROM (SELECT DISTINCT version_id, prompt_version, json FROM extractions) GROUP BY 1")
 def e12_enrich_report(spark, sf_dir):
     e = table(spark, sf_dir, "extractions").select("version_id", "prompt_version", "json").distinct()
     return e.groupBy("prompt_version").agg(F.count("*").alias("candidates"), F.count_if(enrich.parse_enrichment(F.col("json")).isNotNull()).alias("readable"))
