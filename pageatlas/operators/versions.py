@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import difflib
 import hashlib
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,7 +14,7 @@ from pageatlas.functions.page import text_hash, version_id
 from pageatlas.functions.text import split_lines
 from pageatlas.operators.fetchlog import usable
 
-FOLDED = "url string, action string, version_id string, first_seen string, last_seen string, text_md string, content_hash string, text_hash string"
+FOLDED = "url string, action string, version_id string, first_seen string, last_seen string, text_md string, content_hash string, text_hash string, stated_date string"
 
 
 def line_bound(old: Column, new: Column) -> Column:
@@ -45,50 +44,63 @@ def changed_meaningfully(old: str, new: str, ratio: float) -> bool:
     return difflib.SequenceMatcher(None, old.splitlines(), new.splitlines(), autojunk=False).ratio() < ratio
 
 
-def fold_versions(fetches: DataFrame, latest: DataFrame, read: Callable[[str, str], str], ratio: float = 0.98) -> DataFrame:
+def fold_versions(fetches: DataFrame, latest: DataFrame, texts: DataFrame, ratio: float = 0.98) -> DataFrame:
     """Fold each url's usable fetches, in order of time, into its versions; one row per fetch looked at.
 
-    ``latest``: (url, version_id, last_seen, text_md, content_hash, text_hash, first_seen) of each url's
-    latest version; ``read(url, raw_object_key)`` gives the normalised text or raises. Fetches not later
-    than last_seen are left out. A 304 or an unchanged hash extends the version (``unchanged``); so does a
-    text no less similar than ``ratio`` to the version's stored text, which also takes the new hash; a
-    read that fails is an ``error`` and changes nothing; all else opens a version (``new``). The state is
-    one version, so a url with any number of fetches is folded row by row.
+    ``latest``: each url's latest version; ``texts``: (url, raw_object_key, text, stated_date), where a
+    text that is null or missing is an error of its fetch. Fetches not later than last_seen are left out.
+    A 304 or an unchanged hash extends the version (``unchanged``); so does a text no less similar than
+    ``ratio`` to the version's stored text, which also takes the new hash; an ``error`` changes nothing;
+    all else opens a version (``new``). Rows stream through sorted by url and time and the state is one
+    version, so no url's fetches are ever held together, however many it has.
     """
     cols = ["url", "fetched_at", "status", "content_hash", "raw_object_key"]
     f = usable(fetches).select(*cols).distinct().join(latest.select("url", F.col("last_seen").alias("mark")), "url", "left")
-    f = f.where(F.col("mark").isNull() | (F.col("fetched_at") > F.col("mark"))).drop("mark")
-
-    def fold(key, f: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        cur = v.iloc[0].to_dict() if len(v) else None
-        out = []
-        for r in f.sort_values(["fetched_at", "content_hash"]).itertuples(index=False):
-            action = "unchanged"
-            if cur is not None and (r.status == 304 or r.content_hash == cur["content_hash"]):
-                cur["last_seen"] = r.fetched_at
-            else:
-                try:
-                    text = read(r.url, r.raw_object_key)
-                except Exception:  # one bad page must not stop the run
-                    out.append((r.url, "error", None, r.fetched_at, None, None, r.content_hash, None))
+    f = f.where(F.col("mark").isNull() | (F.col("fetched_at") > F.col("mark"))).join(texts, ["url", "raw_object_key"], "left")
+    none = F.lit(None).cast("string")
+    seeds = latest.select(
+        "url", F.lit(0).alias("kind"), F.col("last_seen").alias("at"), F.lit(0).cast("bigint").alias("status"), "content_hash", F.col("text_md").alias("text"), "stated_date",
+        "version_id", "first_seen", "text_hash",
+    )
+    rows = f.select(
+        "url", F.lit(1).alias("kind"), F.col("fetched_at").alias("at"), "status", "content_hash", "text", "stated_date",
+        none.alias("version_id"), none.alias("first_seen"), none.alias("text_hash"),
+    )
+    ordered = seeds.unionByName(rows).repartition("url").sortWithinPartitions("url", "kind", "at", "content_hash")
+
+    def fold(batches):
+        cur, url = None, None
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if r.url != url:
+                    cur, url = None, r.url
+                if r.kind == 0:
+                    cur = {"version_id": r.version_id, "first_seen": r.first_seen, "last_seen": r.at, "text_md": r.text or "", "content_hash": r.content_hash, "text_hash": r.text_hash, "stated_date": r.stated_date}
+                    continue
+                action = "unchanged"
+                if cur is not None and (r.status == 304 or r.content_hash == cur["content_hash"]):
+                    cur["last_seen"] = r.at
+                elif r.text is None or r.text != r.text:
+                    out.append((r.url, "error", None, None, r.at, None, r.content_hash, None, None))
                     continue
-                if cur is not None and not changed_meaningfully(cur["text_md"], text, ratio):
-                    cur["last_seen"], cur["content_hash"] = r.fetched_at, r.content_hash
+                elif cur is not None and not changed_meaningfully(cur["text_md"], r.text, ratio):
+                    cur["last_seen"], cur["content_hash"] = r.at, r.content_hash
                 else:
-                    hashed = hashlib.sha256(text.encode()).hexdigest()
-                    vid = hashlib.sha1(f"{r.url}\0{hashed}\0{r.fetched_at}".encode()).hexdigest()
-                    cur = {"version_id": vid, "first_seen": r.fetched_at, "last_seen": r.fetched_at, "text_md": text, "content_hash": r.content_hash, "text_hash": hashed}
+                    hashed = hashlib.sha256(r.text.encode()).hexdigest()
+                    vid = hashlib.sha1(f"{r.url}\0{hashed}\0{r.at}".encode()).hexdigest()
+                    cur = {"version_id": vid, "first_seen": r.at, "last_seen": r.at, "text_md": r.text, "content_hash": r.content_hash, "text_hash": hashed, "stated_date": r.stated_date}
                     action = "new"
-            out.append((r.url, action, cur["version_id"], cur["first_seen"], cur["last_seen"], cur["text_md"], cur["content_hash"], cur["text_hash"]))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in FOLDED.split(", ")])
+                out.append((r.url, action, cur["version_id"], cur["first_seen"], cur["last_seen"], cur["text_md"], cur["content_hash"], cur["text_hash"], cur["stated_date"]))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in FOLDED.split(", ")])
 
-    return f.groupBy("url").cogroup(latest.select("url", "version_id", "first_seen", "last_seen", "text_md", "content_hash", "text_hash").groupBy("url")).applyInPandas(fold, FOLDED)
+    return ordered.mapInPandas(fold, FOLDED)
 
 
 def merge_versions(versions: DataFrame, folded: DataFrame, owners: DataFrame, min_chars: int = 200) -> DataFrame:
     """The versions table after a fold: what was extended takes its last_seen and hash, new ones follow."""
     last = folded.where("action <> 'error'").groupBy("version_id").agg(
-        F.max("last_seen").alias("seen"), F.max_by("content_hash", "last_seen").alias("hash"), F.max_by(F.struct("url", "first_seen", "text_md", "text_hash"), "last_seen").alias("v")
+        F.max("last_seen").alias("seen"), F.max_by("content_hash", "last_seen").alias("hash"), F.max_by(F.struct("url", "first_seen", "text_md", "text_hash", "stated_date"), "last_seen").alias("v")
     )
     kept = versions.join(last.select("version_id", "seen", "hash"), "version_id", "left").withColumn("last_seen", F.coalesce("seen", "last_seen")).withColumn(
         "content_hash", F.coalesce("hash", "content_hash")

@@ -305,7 +305,10 @@ def d12_version_islands(spark, sf_dir):
 
 def _folded(spark, sf_dir):
     empty = table(spark, sf_dir, "versions").where("1 = 0")
-    return versions.fold_versions(table(spark, sf_dir, "fetches"), empty, lambda url, key: f"page {key}\nof {url}")
+    fetches = table(spark, sf_dir, "fetches")
+    text = F.concat(F.lit("page "), "raw_object_key", F.lit("\nof "), "url")
+    texts = fetches.where("raw_object_key is not null").select("url", "raw_object_key", text.alias("text"), F.lit(None).cast("string").alias("stated_date")).distinct()
+    return versions.fold_versions(fetches, empty, texts)
 
 
 @query(None)
@@ -585,6 +588,32 @@ def g24_cluster_report(spark, sf_dir):
     return per.agg(F.count("*").alias("points"), F.count_if(F.col("top") < 0).alias("noise")).crossJoin(f.where("topic >= 0").agg(F.count_distinct("topic").alias("clusters")))
 
 
+@query(None)
+def g7_density_clusters(spark, sf_dir):
+    from pageatlas.operators import hdbscan
+
+    e = table(spark, sf_dir, "embeddings")
+    return hdbscan.cluster(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), 8)
+
+
+@query(None)
+def g6_layout(spark, sf_dir):
+    from pageatlas.operators import layout
+
+    e = table(spark, sf_dir, "embeddings")
+    return layout.positions(e.select(F.col("vec_id").cast("string").alias("version_id"), doubles(F.col("embedding")).alias("v")))
+
+
+@query(None)
+def d2_main_text(spark, sf_dir):
+    from pageatlas.functions.html import main_text
+
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    body = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;"), "\n+", "</p><p>")
+    html = F.concat(F.lit("<html><head><style>p {}</style></head><body><nav><a href='/'>Home</a></nav><article><p>"), body, F.lit("</p></article><footer>© 2026</footer></body></html>"))
+    return d.select("doc_id", main_text(F.lit("https://a.example/now"), html).alias("text_md"))
+
+
 # --- H: view ----------------------------------------------------------------------------------------
 
 _PTS = "WITH pts AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label AS topic, (1 + vec_id % 4) / 4.0::DOUBLE AS weight FROM embeddings), b AS (SELECT min(x) AS x0, min(y) AS y0, CASE WHEN greatest(max(x) - min(x), max(y) - min(y)) = 0 THEN 1 ELSE greatest(max(x) - min(x), max(y) - min(y)) END AS span FROM pts), sc AS (SELECT id, topic, weight, 30 + (x - x0) / span * 580 AS cx, 30 + (y - y0) / span * 580 AS cy FROM pts, b)\n"
