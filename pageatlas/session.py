@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,7 +42,19 @@ def durable(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._durable_path = path
+    _written.add(path)
     if (old := getattr(replaces, "_durable_path", None)) is not None:
-        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
-        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+        _delete(spark, old)
     return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    _written.discard(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all durable tables of this process, once no result that reads them is needed any more."""
+    for path in list(_written):
+        _delete(spark, path)
