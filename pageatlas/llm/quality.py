@@ -30,47 +30,64 @@ ANCHOR, FLOOR, CEILING = 25.0, 0.06, 0.35
 USUAL_PAIR = 5e-4
 
 _WORD = re.compile(r"[^\W\d_]+")
-_PATTERNED = re.compile(
-    r"^\s*(?:[-*+•·◦▪–—]\s|\(?\d{1,4}[.)]\s|\[[ xX]?\]|\||<[/!a-zA-Z]|[{}\[\]\"]|#{1,6}\s|\d{4}-\d\d-\d\d|https?://)|\|.*\||\t|;.*;.*;|^(?:\s*\S+(?: \S+){0,2}\s*,){2,}\s*\S+(?: \S+){0,2}\s*$|^\S{1,40}\s*[:=]\s*\S.{0,40}$|\S\s{3,}\S.*\s{3,}\S"
-)
+_LEAD = re.compile(r"\s*(?:[-*+•·◦▪–—]\s|\(?\d{1,4}[.)]\s|\[[ xX]?\]|\||<[/!a-zA-Z]|[{}\[\]\"]|#{1,6}\s|\d{4}-\d\d-\d\d|https?://)")
+_FIELDS = re.compile(r"(?:\s*\S+(?: \S+){0,2}\s*,){2,}\s*\S+(?: \S+){0,2}\s*$")
+_KEY_VALUE = re.compile(r"\S{1,40}\s*[:=]\s*\S.{0,40}$")
+_ALIGNED = re.compile(r"\S\s{3,}\S.*\s{3,}\S")
+_DIGIT = re.compile(r"\d")
 _SENTENCES = re.compile(r"[.!?…。！？]+[\"'”’)]*\s+|\n+")
 _ENDS = re.compile(r"[.!?…:。！？][\"'”’)\]*_]*\s*(?:[☀-➿\U0001f300-\U0001faff]\s*)*$")
 _BREAK = re.compile(r"[.!?]\s+(\w)")
 
 
-def segments(text: str | None) -> list[str]:
-    """Runs of non-blank lines, cut where flowing and patterned lines meet."""
+def _patterned(line: str) -> bool:
+    """Whether a line is set in a pattern: marked, tabular, or a key and its value."""
+    return bool(
+        _LEAD.match(line)
+        or "\t" in line
+        or line.count("|") > 1
+        or line.count(";") > 2
+        or ("   " in line and _ALIGNED.search(line))
+        or ("," in line and _FIELDS.match(line))
+        or (len(line) < 130 and _KEY_VALUE.match(line))
+    )
+
+
+def segments(text: str | None) -> list[tuple[str, float]]:
+    """(run of non-blank lines, share of them that are patterned), cut where flowing and patterned lines meet."""
     out: list[list[str]] = []
+    marks: list[int] = []
     kind = None
     for line in (text or "").splitlines():
         if not line.strip():
             continue
         words = len(line.split())
-        k = bool(_PATTERNED.search(line)) or (words < 5 and not _ENDS.search(line) and (kind is not False or words < 2))
+        p = _patterned(line)
+        k = p or (words < 5 and not _ENDS.search(line) and (kind is not False or words < 2))
         if out and k == kind:
             out[-1].append(line)
+            marks[-1] += p
         else:
             out.append([line])
+            marks.append(int(p))
         kind = k
-    return ["\n".join(x) for x in out]
+    return [("\n".join(x), m / len(x)) for x, m in zip(out, marks)]
 
 
-def statistics(text: str, common: frozenset[str], usual: frozenset[tuple[str, str]] | None) -> list[float]:
+def statistics(text: str, common: frozenset[str], usual: frozenset[tuple[str, str]] | None, patterned: float | None = None) -> list[float]:
     """STATISTICS of one segment or text."""
     lines = [x for x in text.splitlines() if x.strip()] or [text]
     low = text.lower()
     words = _WORD.findall(low)
     n = max(len(words), 1)
     chars = max(len(text) - text.count(" ") - text.count("\n"), 1)
-    digits = sum(c.isdigit() for c in text)
+    digits = len(_DIGIT.findall(text))
     letters = sum(map(len, words))
     known = [w in common for w in words]
     pairs = good = 0
     if usual:
-        for a, b, x, y in zip(words, words[1:], known, known[1:]):
-            if x and y:
-                pairs += 1
-                good += (a, b) in usual
+        both = [(a, b) for a, b, x, y in zip(words, words[1:], known, known[1:]) if x and y]
+        pairs, good = len(both), sum(map(usual.__contains__, both))
     sentences = [s.strip() for s in _SENTENCES.split(text) if s.strip()]
     breaks = [c.islower() for c in _BREAK.findall(text)]
     return [
@@ -78,12 +95,12 @@ def statistics(text: str, common: frozenset[str], usual: frozenset[tuple[str, st
         min(letters / n, 20.0) if words else 0.0,
         max(chars - letters - digits, 0) / chars,
         digits / chars,
-        sum(bool(_ENDS.search(x)) for x in lines) / len(lines),
+        sum(bool(_ENDS.search(x[-60:])) for x in lines) / len(lines),
         sum(known) / n,
         (good + 2.0) / (pairs + 2.5),
         1 - len(set(sentences)) / len(sentences) if len(sentences) > 3 else 0.0,
         1 - len(set(words)) / n,
-        sum(bool(_PATTERNED.search(x)) for x in lines) / len(lines),
+        sum(map(_patterned, lines)) / len(lines) if patterned is None else patterned,
         (sum(breaks) + 0.05) / (len(breaks) + 1.0),
     ]
 
@@ -198,10 +215,10 @@ def segment_statistics(documents: DataFrame, common: frozenset[str], usual: froz
         for b in batches:
             ids, chars, flat = [], [], []
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                for s in segments(t):
+                for s, patterned in segments(t):
                     ids.append(i)
                     chars.append(len(s))
-                    flat.extend(statistics(s, common, usual))
+                    flat.extend(statistics(s, common, usual, patterned))
             x = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, D), pa.int32()), pa.array(flat, pa.float64()))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(chars, pa.int64()), x], names=["doc_id", "chars", "x"])
 
