@@ -104,7 +104,7 @@ def _islands(items: DataFrame, seed: int) -> DataFrame:
             row = pdf.iloc[0]
             sizes = dict(zip(map(int, row["items"]), map(int, row["sizes"])))
             came = [[list(map(int, g)) for g in bins] for bins in pdf["bins"] if len(bins)]
-            s = hash((seed, number, int(row["part"]), int(row["island"]), int(row["capacity"])))
+            s = hash((seed, number, int(row["part"]), int(row["island"]), int(row["capacity"])))  # of integers: the same in every process
             best = evolve(sizes, came, int(row["capacity"]), s)
             out = pdf.iloc[[0] * min(2, len(best))].copy()  # an island's elite goes on: to itself and to its neighbour
             out["fit"] = [fitness(sizes, p, int(row["capacity"])) for p in best[:2]]
