@@ -2,13 +2,17 @@
 
 A page's lines stand in containers (runs of lines between blank ones). Each line gets a generalised
 tag-class path: the zone of the page it stands in, the container's head, its own mark-up and its
-class; and each gets a score for how much it looks like furniture. Scores vote in Spark, per host
-and, as a prior for hosts with few pages, over all hosts. The pages are then extracted again with
-the paths that won: a line is furniture if its path is, whatever its own score.
+class; and each gets a score for how much it looks like furniture, which is fixed by its path and is
+the prior. What votes is what the pages of a host have in common: a line whose text stands on most
+distinct pages of its host counts as furniture whatever its score. A path most of whose lines on a
+host repeat so is furniture on that host, lines that do not repeat included. The pages are then
+extracted again with the texts and paths that won. Votes only add furniture: on hosts that many
+authors share, the frames of a single author repeat little, so rarity is no evidence of content.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -19,8 +23,11 @@ from pyspark.sql import functions as F
 from pageatlas.functions.arrow import arrow_function
 from pageatlas.session import durable
 
-#: Votes of all hosts together count as much as so many lines of the host.
+#: The score of a path counts as much as so many lines of the host.
 PRIOR_LINES = 8.0
+#: On how many distinct pages of a host, and on what share of them, a text is repeated furniture. Headings
+#: of sections are the author's own, so that they need to stand on nearly every page.
+REPEAT_PAGES, REPEAT_SHARE, REPEAT_SHARE_HEADING = 3, 0.5, 0.9
 
 
 def _words(text: str) -> frozenset[str]:
@@ -219,10 +226,19 @@ def line_paths(text: str | None) -> Iterator[tuple[int, str, float]]:
         yield x.no, f"{zone}/{under or '-'}/{x.tag}/{kind}", score
 
 
-@arrow_function("array<struct<line_no:int,path:string,score:float>>")
+def _text_key(line: str) -> int:
+    """64 bits of a line's text, blanks at its ends dropped."""
+    return int.from_bytes(hashlib.blake2b(line.strip().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+@arrow_function("array<struct<line_no:int,path:string,score:float,said:bigint>>")
 def paths_of(texts: pd.Series) -> pd.Series:
-    """Paths and scores of every non-blank line of a page."""
-    return pd.Series([[{"line_no": n, "path": p, "score": s} for n, p, s in line_paths(t)] for t in texts], dtype=object)
+    """Paths, scores and keys of the text of every non-blank line of a page."""
+    out = []
+    for t in texts:
+        raw = t.split("\n") if t else []
+        out.append([{"line_no": n, "path": p, "score": s, "said": _text_key(raw[n])} for n, p, s in line_paths(t)])
+    return pd.Series(out, dtype=object)
 
 
 def host_of(url: Column) -> Column:
@@ -230,6 +246,26 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(host, r"^www\.", "")
 
 
+def page_of(url: Column) -> Column:
+    """A key of the page a url names: without scheme, ``www.``, fragment and slash at the end."""
+    return F.xxhash64(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:www\.)?|/?(?:#.*)?$", ""))
+
+
+def repeated_texts(lines: DataFrame) -> DataFrame:
+    """(host, said): texts that stand on most distinct pages of their host. Several versions of one
+    page count once, and so do several urls with one text."""
+    distinct = F.least(F.count_distinct("page"), F.count_distinct("doc"))
+    hosts = lines.where("host <> ''").select("host", "page", "doc").distinct().groupBy("host").agg(distinct.alias("pages")).where(F.col("pages") >= REPEAT_PAGES)
+    share = F.when(F.col("heading"), REPEAT_SHARE_HEADING).otherwise(REPEAT_SHARE)
+    return (
+        lines.join(hosts, "host")
+        .groupBy("host", "said")
+        .agg(distinct.alias("on"), F.max("pages").alias("pages"), F.max(F.col("path").contains("/h/")).alias("heading"))
+        .where((F.col("on") >= REPEAT_PAGES) & (F.col("on") >= share * F.col("pages")))
+        .select("host", "said")
+    )
+
+
 def furniture_lines(versions: DataFrame) -> DataFrame:
     """(version_id, line_no) of each line that is not the author's own content.
 
@@ -241,18 +277,21 @@ def furniture_lines(versions: DataFrame) -> DataFrame:
     """
     pages = versions.select("version_id", "url", "text_md").where(F.length("text_md") > 0).distinct()
     lines = durable(
-        pages.select("version_id", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.explode(paths_of("text_md")).alias("l"))
-        .select("version_id", "host", "l.line_no", "l.path", "l.score")
+        pages.select("version_id", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), page_of(F.col("url")).alias("page"), F.xxhash64("text_md").alias("doc"), F.explode(paths_of("text_md")).alias("l"))
+        .select("version_id", "host", "page", "doc", "l.line_no", "l.path", "l.score", "l.said")
     )
-    by_host = durable(lines.groupBy("host", "path").agg(F.sum("score").alias("s"), F.count("*").cast("double").alias("n")))
-    overall = by_host.groupBy("path").agg((F.sum("s") / F.sum("n")).alias("mean"))
+    repeated = durable(repeated_texts(lines)).withColumn("repeats", F.lit(True))
+    marked = lines.join(repeated, ["host", "said"], "left").withColumn("repeats", F.coalesce("repeats", F.lit(False)))
+    evidence = F.when(F.col("repeats"), 1.0).otherwise(F.col("score"))
+    by_host = durable(marked.groupBy("host", "path").agg(F.sum(evidence).alias("s"), F.sum("score").alias("prior"), F.count("*").cast("double").alias("n")))
+    overall = by_host.groupBy("path").agg((F.sum("prior") / F.sum("n")).alias("mean"))
     vote = (F.col("s") + PRIOR_LINES * F.col("mean")) / (F.col("n") + PRIOR_LINES)
     verdicts = by_host.join(F.broadcast(overall), "path").select("host", "path", (vote >= 0.5).alias("here"), (F.col("mean") >= 0.5).alias("everywhere"))
     others = verdicts.where(F.col("here") != F.col("everywhere")).select("host", "path", "here")
     return (
-        lines.join(F.broadcast(overall.select("path", (F.col("mean") >= 0.5).alias("everywhere"))), "path")
+        marked.join(F.broadcast(overall.select("path", (F.col("mean") >= 0.5).alias("everywhere"))), "path")
         .join(others, ["host", "path"], "left")
-        .where(F.coalesce("here", "everywhere"))
+        .where(F.col("repeats") | F.coalesce("here", "everywhere"))
         .select("version_id", "line_no")
         .distinct()
     )

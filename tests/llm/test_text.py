@@ -119,6 +119,19 @@ def test_furniture_and_main_text(spark):
     assert boilerplate.furniture_lines(v.limit(0)).count() == 0
 
 
+def test_pages_of_a_host_decide(spark):
+    frame = "Slow words from a small room by the sea, kept up since the spring of that year."
+    steps = ["1. Please wipe your feet at the door before you come in.", "2. Please leave the lamp burning for whoever comes after you."]
+    own = "I mended gate number {0} today and it took me all of the long morning."
+    page = lambda k: "\n\n".join([own.format(k), frame, own.format(k + 100), *steps, f"3. Please say word {k} to the cat.", own.format(k + 200)])
+    rows = [(f"s{k}", f"https://site.example/{k}", page(k)) for k in range(12)]
+    rows += [(f"v{k}", "https://once.example/now", page(k)) for k in range(12)]  # versions of one page repeat what is the author's
+    rows += [(f"m{k}", f"https://mirror.example/{k}", page(0)) for k in range(12)]  # and so do mirrors
+    got = {(r["version_id"], r["line_no"]) for r in boilerplate.furniture_lines(spark.createDataFrame(rows, "version_id string, url string, text_md string")).collect()}
+    # the frame and the steps repeat; the third step does not, but its path is furniture on this host
+    assert got == {(f"s{k}", n) for k in range(12) for n in (2, 6, 8, 10)}
+
+
 # --- quality -----------------------------------------------------------------------------------------
 
 DOCS = "doc_id bigint, text string, chars string, kind string, x string"
