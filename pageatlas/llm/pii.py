@@ -54,25 +54,33 @@ TRANSDUCERS = [
     (re.compile(r"(?<=\w)\s+@\s+(?=[\w-]+\s*\.)|(?<=\w)\s+@(?=[\w-]+\.)"), "@"),
     (re.compile(rf"\b(?:{_DIGIT_WORDS})(?:[\s,-]+(?:{_DIGIT_WORDS})){{5,}}\b", re.I), None),
 ]
-#: What a line must have for a transducer to apply, as tests that cost little.
+#: What a line must have for a transducer to apply, as tests that cost little. Each follows from a
+#: transducer's own pattern: a guard that asks for more than they do hides what they are for.
 _ODD_CHARACTER = re.compile(r"[^\x00-\x7fÀ-ſ–—’·]")
-_DISGUISES = ("@", "&#", "&comm", "&peri", "at)", "at]", "at}", "at>", "ät)", "ät]", "arroba", "arobase", "chez)", "chez]", "bei)", "bei]", "à)", "à]", " dot ", "dot)", "dot]", "dot}", "punto", " point ", "point)", "point]", "punkt", " pt ")
+_BRACKETED = re.compile(rf"[\[({{<|*_]\s*(?:{_AT}|@|{_DOT}|\.)\s*[\])}}>|*_]", re.I)
+_SPOKEN_AT_WORDS = frozenset("at ät arroba arobase chez bei".split())
+_SPOKEN_AT = re.compile(rf"\s(?:at|ät|arroba|arobase|chez|bei)\s+[\w-]+(?:\s+(?:{_DOT})\s|\.[\w-])", re.I)
 
 
-_SPOKEN_AT = re.compile(rf"\s(?:at|ät|chez|bei)\s+[\w-]+(?:\s+(?:{_DOT})\s|\.\w)", re.I)
+def _low(text: str) -> str:
+    """Lower case in which the letters that patterns without case take for i and s are these."""
+    return text.lower() if text.isascii() else text.lower().replace("i̇", "i").replace("ı", "i").replace("ſ", "s")
 
 
 def _may_need(text: str, low: str) -> bool:
-    if any(d in low for d in _DISGUISES):
+    if "@" in low or "&#" in low or "&commat;" in low or "&period;" in low or _BRACKETED.search(text):
         return True
-    if (" at " in low or " ät " in low or " chez " in low or " bei " in low) and _SPOKEN_AT.search(text):
+    words = low.replace(",", " ").replace("-", " ").split()
+    if not _SPOKEN_AT_WORDS.isdisjoint(words) and _SPOKEN_AT.search(text):
         return True
     run = 0
-    for w in low.split():
-        run = run + 1 if w.strip(",.-") in SPELLED or "-" in w and w.split("-")[0] in SPELLED else 0
-        if run > 2:
+    for w in words:  # of six spelled digits in a row the inner four stand alone
+        run = run + 1 if w in SPELLED else 0
+        if run > 3:
             return True
     return False
+
+
 _MAILBOX = re.compile(r"[._+\d-]")
 _DOT_WORD = re.compile(rf"\s+(?:{_DOT})\s+", re.I)
 
@@ -139,7 +147,7 @@ def rewrite(line: str) -> Rewritten:
     """Undo the disguises of one line."""
     r = Rewritten(line)
     if line.isascii() or not _ODD_CHARACTER.search(line):
-        return _undo(r) if _may_need(line, line.lower()) else r
+        return _undo(r) if _may_need(line, _low(line)) else r
     r.text = line.translate(LOOKALIKES)
     if not unicodedata.is_normalized("NFC", r.text):
         r.apply(
@@ -166,7 +174,7 @@ def _undo(r: Rewritten) -> Rewritten:
             elif k == 6:
                 edits.extend((m.start() + d.start(), m.start() + d.end(), ".") for d in _DOT_WORD.finditer(m.group()))
             else:
-                edits.append((m.start(), m.end(), "".join(SPELLED[w.lower()] for w in re.findall(r"[^\W\d_]+", m.group()))))
+                edits.append((m.start(), m.end(), "".join(SPELLED[_low(w)] for w in re.findall(r"[^\W\d_]+", m.group()))))
         r.apply(edits)
     return r
 

@@ -56,6 +56,32 @@ def test_finds_each_kind():
         assert kinds(name) == ["name"], name
 
 
+def test_every_disguise_is_undone_on_lines_of_plain_letters():
+    for left in ("[", "(", "{", "<", "|", "*", "_"):
+        right = {"[": "]", "(": ")", "{": "}", "<": ">"}.get(left, left)
+        for at in ("at", "AT", "ät", "arroba", "arobase", "chez", "bei", "à", "@"):
+            for pad in ("", " ", "\t"):
+                assert kinds(f"jane {left}{pad}{at}{pad}{right} host.org") == ["email"], (left, at, pad)
+        for dot in ("dot", "punto", "point", "punkt", "pt", "."):
+            if left != "_":
+                assert kinds(f"jane@host {left} {dot} {right} org") == ["email"], (left, dot)
+    for line in ("jane&#64;host.org", "jane&#X40;host.org", "jane&commat;host.org", "jane@host&#46;org", "jane@host&period;org", "jane@host dot org", "jane @ host.org", "jane @host.org",
+                 "jane.d at host.org", "jane.d\tat\thost.org", "jane at host dot org", "jane arroba host punto org", "jane arobase host point org", "jane chez host pt org", "jane bei host punkt org", "ja\u200bne@host.org"):
+        assert kinds(line) == ["email"], line
+    for line in ("call five-five-five-oh-one-two-three", "call five,five,five,oh,one,two,three", "(call five five, five oh one - two three)", "call fıve five five ſix one two three"):
+        assert kinds(line) == ["phone"], line
+
+
+def test_guard_follows_from_every_transducer():
+    import itertools
+
+    parts = ["jane", " at ", "\tbei ", "(at)", "_at_", "| à|", "host", ".", "-x", " dot ", "{ pt }", "&#046;", "&Commat;", "six-ſix, ", "un,deux trois ", "nıne nine\t", " arroba ", "é"]
+    for n in (3, 4):
+        for line in map("".join, itertools.product(parts, repeat=n)):
+            r = pii._undo(pii.Rewritten(line))
+            assert r.text == line or pii._may_need(line, pii._low(line)), line
+
+
 def test_what_is_no_case():
     for line in ("order 2025-118-0012 is late", "book 978-0-00-000024-2", "Build 4.17.0932", "4,250,000 coins", "Updated 08.09.2025 or 2025-09-08", "as @kelpfish", "garden@18.2", "River Lane is a song", "Room 14 on Tuesdays",
                  "© 2012 Yarrow Letters", "number QQ 18 77 85 C. What I did" if False else "Chapter 7 took 27 evenings", "85,237 visitors", "in 1:02:33", "Am 3. Mai 2024", "https://user@host.example/x", ""):
