@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageatlas.functions.arrow import arrow_function
+from pageatlas.session import durable
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 
@@ -289,6 +290,16 @@ _INTRODUCTION_HINTS = ("i am ", "i'm ", "i’m ", "my name is", "ich bin ", "ich
 _AFTER_GIVEN = re.compile(rf"\s+(?:{_INITIALS}|{_SURNAME}\s+(?={_SURNAME}))?(?P<s>{_SURNAME}|{_CAP}\.)|\s+(?P<t>(?:von|van|de|del|della|di|du|da|der|den|ter|zu|la|le)(?:\s+(?:der|den|la|las|los))?\s+{_SURNAME})")
 
 
+#: Function words of four languages. Where ``people`` has one as a given name, it counts
+#: amid a sentence only, as any word has a capital at its start.
+FUNCTION_WORDS = frozenset(
+    "the a an and my our your this that these in on at of for from to with by it we you he she they i not no what when where how "
+    "der die das ein eine und mein meine unser im am in zu von für mit aus es wir ihr sie er ich nicht was wo wie "
+    "le la les un une et mon ma mes notre nos de du des en au aux à dans pour avec ce cette il elle nous vous je "
+    "el los las uno una y mi mis nuestro nuestra del con para por lo al su sus este esta él ella nosotros yo".split()
+)
+
+
 def _sentence_start(text: str, i: int) -> bool:
     return not text[:i].strip() or text[:i].rstrip()[-1] in ".!?:"
 
@@ -297,7 +308,7 @@ def _names(text: str, given: frozenset[str]) -> list[tuple[int, int]]:
     out = []
     for m in _CAPITAL_WORD.finditer(text):
         w = m.group()
-        if w.casefold() in given:
+        if w.casefold() in given and not (w.casefold() in FUNCTION_WORDS and _sentence_start(text, m.start())):
             n = _AFTER_GIVEN.match(text, m.end())
             if n:
                 s = n.group("s") or n.group("t")
@@ -385,47 +396,84 @@ def redact_text(text: str | None, given: frozenset[str]) -> str | None:
     return "".join(out) + text[pos:]
 
 
-def given_names(people: DataFrame, column: str = "name", at_least: int = 3, most: int = 100_000) -> frozenset[str]:
-    """Given names to look for: first words, casefolded, of at least ``at_least`` distinct names of
-    ``people``. At most ``most``, the commonest first, so that the set has a size bound; names it
-    lacks are still found by title, initial or introduction."""
+#: Given names that are sent along with the code; of more, each text meets those it has by a join.
+MOST_GIVEN = 100_000
+@arrow_function("string")
+def _folded(words: pd.Series) -> pd.Series:
+    return words.map(lambda w: unicodedata.normalize("NFC", w).casefold(), na_action="ignore")
+
+
+def given_names(people: DataFrame, column: str = "name") -> DataFrame:
+    """(first): every given name to look for, once: the first words, casefolded, of the names of ``people``."""
     first = F.regexp_extract(column, r"(?U)^[\s\x{1c}-\x{1f}]*([\p{L}\p{M}'’-]{2,})\s+\S", 1)
-    rows = (
-        people.select(F.lower(first).alias("first"), column)
-        .where(F.length("first") > 1)
-        .groupBy("first")
-        .agg(F.count_distinct(column).alias("n"))
-        .where(F.col("n") >= at_least)
-        .orderBy(F.desc("n"), "first")
-        .limit(most)
-        .collect()
-    )
-    return frozenset(unicodedata.normalize("NFC", r["first"]).casefold() for r in rows)
+    raw = people.select(first.alias("first")).where(F.length("first") > 1).distinct()
+    return raw.select(_folded("first").alias("first")).distinct()
+
+
+def name_candidates(text: str | None) -> list[str]:
+    """The words of a text that ``find_in_line`` looks up among given names, casefolded, each once."""
+    out: set[str] = set()
+    for line in set((text or "").split("\n")):
+        if len(line) >= 4:
+            t = rewrite(line).text
+            out.update(w.casefold() for w in _CAPITAL_WORD.findall(t))
+            out.update(m.group("s").casefold() for m in BY_TITLE.finditer(t))
+    return sorted(out)
+
+
+@arrow_function("array<string>")
+def _candidates(texts: pd.Series) -> pd.Series:
+    return pd.Series([name_candidates(t) for t in texts], dtype=object)
+
+
+def with_given(rows: DataFrame, column: str, names: DataFrame, most: int = MOST_GIVEN) -> tuple[DataFrame, frozenset[str] | Column]:
+    """``rows``, and the given names for their text ``column``: a set of them all if there are at most
+    ``most``; otherwise rows have gained an array ``given`` of those that the text itself may have."""
+    few = names.limit(most + 1).collect()
+    if len(few) <= most:
+        return rows, frozenset(r["first"] for r in few)
+    key = F.sha2(column, 256)
+    words = rows.select(column).where(F.length(column) > 0).distinct().select(key.alias("text_key"), F.explode(_candidates(column)).alias("first"))
+    has = words.join(names, "first").groupBy("text_key").agg(F.collect_set("first").alias("given"))
+    return rows.withColumn("text_key", key).join(has, "text_key", "left").drop("text_key"), F.col("given")
 
 
 SPAN = "array<struct<line:int,start:int,finish:int,kind:string>>"
 
 
-def spans_of(column: Column, given: frozenset[str]) -> Column:
+def _sets(given: pd.Series) -> list[frozenset[str]]:
+    return [frozenset() if g is None else frozenset(g) for g in given]
+
+
+def spans_of(column: Column, given: frozenset[str] | Column) -> Column:
     """Every find in a text column, with its line and code point positions. Null gives an empty list."""
 
+    def finds(t, names):
+        return [{"line": n, "start": s, "finish": e, "kind": k} for n, s, e, k in find_spans(t, names)]
+
     @arrow_function(SPAN)
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [[{"line": n, "start": s, "finish": e, "kind": k} for n, s, e, k in find_spans(t, given)] for t in texts], dtype=object
-        )
+        return pd.Series([finds(t, given) for t in texts], dtype=object)
 
-    return run(column)
+    @arrow_function(SPAN)
+    def run_each(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([finds(t, g) for t, g in zip(texts, _sets(names))], dtype=object)
 
+    return run_each(column, given) if isinstance(given, Column) else run(column)
 
-def redacted(column: Column, given: frozenset[str]) -> Column:
+
+def redacted(column: Column, given: frozenset[str] | Column) -> Column:
     """The text column with typed placeholders. Null stays null, empty stays empty."""
 
     @arrow_function("string")
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: redact_text(t, given))
 
-    return run(column)
+    @arrow_function("string")
+    def run_each(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([redact_text(t, g) for t, g in zip(texts, _sets(names))], dtype=object)
+
+    return run_each(column, given) if isinstance(given, Column) else run(column)
 
 
 def quotes_of(column: Column) -> Column:
@@ -449,22 +497,24 @@ def quotes_of(column: Column) -> Column:
     return run(column)
 
 
-def personal_information(versions: DataFrame, extractions: DataFrame, people: DataFrame) -> DataFrame:
+def personal_information(versions: DataFrame, extractions: DataFrame, people: DataFrame, most: int = MOST_GIVEN) -> DataFrame:
     """(field, version_id, prompt_version, pos, kind): one row per kind present in a line of
     ``text_md`` (pos = line number) or in a quote (pos = index). Exact duplicates count once; null and
     empty texts, and JSON that cannot be read, have no rows. Texts are looked at whole, each once.
     """
-    given = given_names(people)
-    text = (
-        versions.select("version_id", "text_md").where(F.length("text_md") > 0).distinct()
-        .select("version_id", F.explode(spans_of(F.col("text_md"), given)).alias("s"))
-        .select(F.lit("text_md").alias("field"), "version_id", F.lit("").alias("prompt_version"), F.col("s.line").alias("pos"), F.col("s.kind").alias("kind"))
-    )
-    quotes = (
+    names = durable(given_names(people))
+    texts, given = with_given(versions.select("version_id", "text_md").where(F.length("text_md") > 0).distinct(), "text_md", names, most)
+    text = texts.select("version_id", F.explode(spans_of(F.col("text_md"), given)).alias("s")).select(
+        F.lit("text_md").alias("field"), "version_id", F.lit("").alias("prompt_version"), F.col("s.line").alias("pos"), F.col("s.kind").alias("kind")
+    )
+    said = (
         extractions.select("version_id", "prompt_version", "json").where(F.length("json") > 0).distinct()
         .select("version_id", "prompt_version", F.posexplode(quotes_of(F.col("json"))).alias("pos", "quote"))
         .where(F.length("quote") > 0)
-        .select("version_id", "prompt_version", "pos", F.explode(F.transform(spans_of(F.col("quote"), given), lambda s: s["kind"])).alias("kind"))
+    )
+    said, given = with_given(said, "quote", names, most)
+    quotes = (
+        said.select("version_id", "prompt_version", "pos", F.explode(F.transform(spans_of(F.col("quote"), given), lambda s: s["kind"])).alias("kind"))
         .select(F.lit("quotes").alias("field"), "version_id", "prompt_version", "pos", "kind")
     )
     return text.unionByName(quotes).distinct()

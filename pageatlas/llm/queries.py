@@ -55,7 +55,7 @@ def p3_main_text(spark, sf_dir):
 
 def p6_redacted(spark, sf_dir):
     versions = table(spark, sf_dir, "versions").select("version_id", "text_md").distinct()
-    given = pii.given_names(table(spark, sf_dir, "people"))
+    versions, given = pii.with_given(versions, "text_md", durable(pii.given_names(table(spark, sf_dir, "people"))))
     return versions.select("version_id", pii.redacted(F.col("text_md"), given).alias("text_md"))
 
 

@@ -108,6 +108,21 @@ def test_table_form(spark):
     assert pii.personal_information(v.limit(0), e.limit(0), p.limit(0)).count() == 0
 
 
+def test_every_given_name_of_people_counts(spark):
+    lines = "with Quirin Naskrud\nthen Ottoline Vask\nThe Garden\nMe Odette\nwe met Al Naskrud"
+    v = spark.createDataFrame([("v1", lines), ("v2", "Odette Brun and her bees"), ("v3", None)], "version_id string, text_md string")
+    e = spark.createDataFrame([("v1", "1", '{"quotes": ["saw Quirin Naskrud", "saw Nobody Naskrud"]}')], "version_id string, prompt_version string, json string")
+    p = spark.createDataFrame([("Quirin A",), ("OTTOLINE B",), ("The House",), ("Al D",), ("Odette C",), (None,), ("Alone",)], "name string")
+    assert {r["first"] for r in pii.given_names(p).collect()} == {"quirin", "ottoline", "odette", "the", "al"}
+    want = [("quotes", "v1", "1", 0, "name"), ("text_md", "v1", "", 0, "name"), ("text_md", "v1", "", 1, "name"), ("text_md", "v1", "", 4, "name"), ("text_md", "v2", "", 0, "name")]
+    assert sorted(map(tuple, pii.personal_information(v, e, p).collect())) == want
+    assert sorted(map(tuple, pii.personal_information(v, e, p, most=1).collect())) == want  # more names than are sent along
+    for most in (1, 10):
+        rows, given = pii.with_given(v, "text_md", pii.given_names(p), most)
+        got = {r["version_id"]: r["t"] for r in rows.select("version_id", pii.redacted(F.col("text_md"), given).alias("t")).collect()}
+        assert got == {"v1": "with [NAME]\nthen [NAME]\nThe Garden\nMe Odette\nwe met [NAME]", "v2": "[NAME] and her bees", "v3": None}
+
+
 # --- boilerplate -------------------------------------------------------------------------------------
 
 PAGE = """**Amber Journal**
