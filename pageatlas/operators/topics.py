@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from pageatlas.functions.page import excerpt, tokens
 from pageatlas.functions.vector import cosine, dot, doubles, norm, normalized
 
-#: Topics whose pairwise merge one driver loop may hold.
-MOST_TOPICS = 5_000
-
 
 def vector_sums(rows: DataFrame, key: str) -> DataFrame:
     """(key, v, n): sums of ``vector`` by key, by position, so that partial sums meet map-side."""
@@ -37,26 +34,47 @@ def centroid_pairs(cents: DataFrame) -> DataFrame:
 
 def merge_similar(cents: DataFrame, threshold: float = 0.85) -> dict[int, int]:
     """Topic -> topic it is merged into: the most similar pair again and again, the larger number into
-    the smaller, until none reaches the threshold. Runs on sums and counts of at most MOST_TOPICS topics."""
+    the smaller, until none reaches the threshold; of equal pairs the one of the largest numbers. Runs on
+    sums and counts, a row per topic; each topic keeps its most similar later one, never all pairs."""
     import numpy as np
 
-    rows = cents.orderBy("topic").limit(MOST_TOPICS + 1).collect()
-    if len(rows) > MOST_TOPICS:
-        raise ValueError(f"more than {MOST_TOPICS} topics")
-    into = {r["topic"]: r["topic"] for r in rows}
-    total = {r["topic"]: np.array(r["c"]) * r["n"] for r in rows}
-    while len(total) > 1:
-        ids = sorted(total)
-        m = np.array([total[i] / max(np.linalg.norm(total[i]), 1e-12) for i in ids])
-        sims = np.triu(m @ m.T, 1) + np.tril(np.full((len(ids), len(ids)), -2.0))
-        best = sims.max()
-        if best < threshold:
+    rows = cents.orderBy("topic").toArrow()  # a row per topic
+    ids = rows["topic"].to_pylist()
+    if not ids:
+        return {}
+    total = np.array(rows["c"].to_pylist(), dtype=float) * np.array(rows["n"].to_pylist(), dtype=float)[:, None]
+    unit = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-12)
+    k = len(ids)
+    best, near, alive = np.full(k, -2.0), np.full(k, -1), np.ones(k, dtype=bool)
+
+    def look(which: np.ndarray) -> None:
+        """The most similar living later topic of each, the latest of equals."""
+        for lo in range(0, len(which), 256):
+            w = which[lo : lo + 256]
+            sims = unit[w] @ unit.T
+            sims[(np.arange(k)[None, :] <= w[:, None]) | ~alive[None, :]] = -2.0
+            near[w] = k - 1 - sims[:, ::-1].argmax(axis=1)
+            best[w] = sims[np.arange(len(w)), near[w]]
+
+    look(np.arange(k))
+    into = np.arange(k)
+    while True:
+        top = best.max()
+        if top < threshold or top <= -2.0:
             break
-        a, b = max(zip(*np.nonzero(sims == best)))
-        a, b = ids[a], ids[b]
-        total[a] = total[a] + total.pop(b)
-        into = {t: a if u == b else u for t, u in into.items()}
-    return into
+        a = int(k - 1 - best[::-1].argmax())
+        b = int(near[a])
+        total[a] += total[b]
+        unit[a] = total[a] / max(np.linalg.norm(total[a]), 1e-12)
+        alive[b], best[b] = False, -2.0
+        into[into == b] = a
+        stale = alive & (best > -2.0) & ((near == a) | (near == b))
+        stale[a] = True
+        look(np.flatnonzero(stale))
+        sims = unit[:a] @ unit[a]  # a may now be nearer to earlier ones than what they had
+        closer = alive[:a] & ((sims > best[:a]) | ((sims == best[:a]) & (near[:a] < a)))
+        best[:a][closer], near[:a][closer] = sims[closer], a
+    return {t: ids[j] for t, j in zip(ids, into.tolist())}
 
 
 def prune_small(focuses: DataFrame, min_pages: int = 3) -> DataFrame:

@@ -61,6 +61,26 @@ def test_density_clusters_do_not_depend_on_order():
     assert (hdbscan.labels_of(x[:7], 8) == -1).all() and (hdbscan.labels_of(x[:0], 8) == -1).all()
 
 
+def test_density_clusters_beyond_what_the_driver_holds(spark):
+    rng = np.random.default_rng(5)
+    x = np.vstack([c + 0.08 * rng.normal(size=(40, 8)) for c in np.eye(8)[:5]] + [rng.normal(size=(30, 8))])
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(f"f{i:04d}", v.tolist()) for i, v in enumerate(x)], "id string, vector array<double>").repartition(5)
+    want = hdbscan.labels_of(x, 8).tolist()
+    assert len(set(want)) > 4
+    for block in (23, 100, 229, 500):  # 11, 3, 2 and 1 blocks, so that trees are merged in rounds, once, and not at all
+        got = hdbscan.cluster(df, 8, most=100, block=block).orderBy("id").collect()
+        assert [r["label"] for r in got] == want and [r["id"] for r in got] == [f"f{i:04d}" for i in range(len(x))], block
+
+
+def test_stage_takes_more_focuses_than_the_driver_holds(spark, monkeypatch):
+    n = hdbscan.MOST_VECTORS + 1
+    taken = []
+    monkeypatch.setattr(hdbscan, "_cluster_by_blocks", lambda df, size, block: taken.append(df.count()) or df)
+    hdbscan.cluster(spark.range(n).select("id", F.array(F.lit(1.0)).alias("vector")))
+    assert taken == [n]
+
+
 def test_layout_of_few_pages(spark):
     df = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [0.0, 1.0])], "version_id string, v array<double>")
     assert [tuple(r) for r in layout.positions(df).orderBy("version_id").collect()] == [("a", 0.0, 0.0), ("b", 1.0, 0.0)]
@@ -72,6 +92,23 @@ def test_merge_similar(spark):
     assert topics.merge_similar(c, 0.85) == {0: 0, 1: 0, 2: 2}
 
 
+def test_merge_similar_takes_any_number_of_topics(spark):
+    rng = np.random.default_rng(2)
+    x, n = rng.normal(size=(60, 4)), rng.integers(1, 9, size=60)
+    c = spark.createDataFrame([(2 * i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, n))], "topic int, c array<double>, n bigint")
+    into, total = {2 * i: 2 * i for i in range(60)}, {2 * i: v * k for i, (v, k) in enumerate(zip(x, n))}
+    while True:  # by all pairs
+        unit = {i: v / np.linalg.norm(v) for i, v in total.items()}
+        best, a, b = max((float(unit[i] @ unit[j]), i, j) for i in total for j in total if i < j)
+        if best < 0.9:
+            break
+        total[a] = total[a] + total.pop(b)
+        into = {t: a if u == b else u for t, u in into.items()}
+    assert topics.merge_similar(c, 0.9) == into and 5 < len(set(into.values())) < 55
+    many = spark.range(5_001).select(F.col("id").cast("int").alias("topic"), F.array(*[F.randn(k) for k in range(16)]).alias("c"), F.lit(2).alias("n"))
+    assert topics.merge_similar(many, 0.99999) == {k: k for k in range(5_001)}
+
+
 def test_html():
     html = "<html><head><title>t</title></head><body><nav>menu</nav><h2>Now</h2><p>Some <b>bold</b> text<br>next</p><ul><li>one</li></ul><div id='x'><p>part</p></div><footer>f</footer></body></html>"
     assert main_text_of("https://a.example", html) == "## Now\n\nSome bold text\nnext\n\n- one\n\npart"
