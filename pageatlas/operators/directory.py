@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageatlas.functions.text import casefold, strip
+from pageatlas.session import durable
 
 FIELDS = ["name", "city", "state", "country", "created", "updated", "checked", "url"]
 COMPARED = ["name", "city", "state", "country"]
@@ -41,6 +42,17 @@ def diff_snapshots(previous: DataFrame, current: DataFrame) -> DataFrame:
     return p.join(c, "url", "full_outer").select("url", change.alias("change")).where(F.col("change").isNotNull())
 
 
+def diff_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """(snapshot_date, url, change) between each two consecutive days, by the later one: new, removed, changed.
+
+    ``rows``: parsed, with their ``day``; ``days``: (day, next_day), also such without rows."""
+    r = rows.select("day", "url", F.struct(*COMPARED).alias("r")).join(days.select("day", "next_day", (F.lag("day").over(Window.orderBy("day")).isNotNull()).alias("later")), "day")  # a row per day
+    p = r.where("next_day is not null").select(F.col("next_day").alias("snapshot_date"), "url", F.col("r").alias("p"))
+    c = r.where("later").select(F.col("day").alias("snapshot_date"), "url", F.col("r").alias("c"))
+    change = F.when(F.col("p").isNull(), "new").when(F.col("c").isNull(), "removed").when(~F.col("p").eqNullSafe(F.col("c")), "changed")
+    return p.join(c, ["snapshot_date", "url"], "full_outer").select("snapshot_date", "url", change.alias("change")).where(F.col("change").isNotNull())
+
+
 def person_id(url: Column) -> Column:
     return F.concat(F.lit("p_"), F.substring(F.sha1(url), 1, 12))
 
@@ -80,3 +92,14 @@ def update_people(people: DataFrame, rows: DataFrame, today: str) -> DataFrame:
     columns = ["person_id", "name", "url", "city", "state", "country", "valid_from", "valid_to", "block", "pos"]
     added = changed.unionByName(new).withColumn("valid_from", F.lit(today)).withColumn("valid_to", F.lit(None).cast("string"))
     return ended.withColumn("block", F.lit(0)).withColumn("pos", F.col("seq")).select(columns).unionByName(added.select(columns))
+
+
+def update_people_daily(people: DataFrame, rows: DataFrame) -> DataFrame:
+    """The people table, with ``seq``, after every day of ``rows`` (parsed, with ``day``) in order. Each day needs
+    the table the day before left, so days follow one another; a day without a row changes nothing, as the
+    directory stage refuses an empty directory."""
+    rows = durable(rows)
+    for r in rows.select("day").distinct().orderBy("day").collect():  # a row per day
+        out = update_people(people, rows.where(F.col("day") == r["day"]), r["day"])
+        people = durable(out.withColumn("seq", F.row_number().over(Window.orderBy("block", "pos")).cast("bigint")).drop("block", "pos"), replaces=people)
+    return people

@@ -8,7 +8,7 @@ from pageatlas.config import Enrich
 from pageatlas.functions import page
 from pageatlas.functions.url import authority, base_url, host, raw_object_key, url_key
 from pageatlas.functions.vector import cosine, doubles, mean_pool
-from pageatlas.operators import directory, enrich, fetchlog, topics, versions, viewagg
+from pageatlas.operators import directory, enrich, fetchlog, snapshots, topics, versions, viewagg
 from pageatlas.session import table
 
 QUERIES: dict = {}
@@ -112,6 +112,32 @@ def b10_update_people(spark, sf_dir):
     return directory.update_people(people, _two_days(spark, sf_dir)[0], "2026-01-04").drop("block", "pos")
 
 
+def _all_days(spark, sf_dir):
+    """Every day's parsed rows of its highest delivery, and the days."""
+    days = snapshots.snapshot_days(table(spark, sf_dir, "directory_snapshots"))
+    s = table(spark, sf_dir, "directory_snapshots").distinct().join(F.broadcast(days.select(F.col("day").alias("snapshot_date"), F.col("delivery").alias("highest"))), "snapshot_date")  # a row per day
+    line = F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in _LINE])
+    lines = s.where(F.coalesce("delivery", F.lit(-1)) == F.col("highest")).select(F.col("snapshot_date").alias("file"), "line_no", line.alias("line"))
+    return directory.parse_directory(lines).withColumnRenamed("file", "day"), days
+
+
+@query(_PARSED_SQL.replace("WITH lines", "WITH days AS (SELECT snapshot_date AS day, snapshot_date || '/' || max(delivery) AS file, lead(snapshot_date) OVER (ORDER BY snapshot_date) AS next_day FROM directory_snapshots GROUP BY snapshot_date), lines") + """,
+recs AS (SELECT day, next_day, url, f[1:4] AS attrs FROM parsed JOIN days USING (file))
+SELECT coalesce(c.day, p.next_day) AS snapshot_date, coalesce(c.url, p.url) AS url, CASE WHEN p.url IS NULL THEN 'new' WHEN c.url IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM (SELECT * FROM recs WHERE next_day IS NOT NULL) p FULL JOIN (SELECT * FROM recs WHERE day > (SELECT min(day) FROM days)) c ON p.next_day = c.day AND p.url = c.url
+WHERE p.url IS NULL OR c.url IS NULL OR p.attrs <> c.attrs""")
+def b3_all_days(spark, sf_dir):
+    return directory.diff_days(*_all_days(spark, sf_dir))
+
+
+@query(None)
+def b10_all_days(spark, sf_dir):
+    from pyspark.sql import Window
+
+    people = table(spark, sf_dir, "people").distinct().withColumn("seq", F.row_number().over(Window.orderBy("valid_from", "url", "person_id")))
+    return directory.update_people_daily(people, _all_days(spark, sf_dir)[0])
+
+
 @query("SELECT DISTINCT person_id, url FROM people WHERE valid_to IS NULL")
 def b6_open_rows(spark, sf_dir):
     return table(spark, sf_dir, "people").where("valid_to is null").select("person_id", "url").distinct()
@@ -169,6 +195,11 @@ def c6_targets(spark, sf_dir):
     return fetchlog.targets(table(spark, sf_dir, "people"), 50)
 
 
+@query("SELECT DISTINCT url FROM people WHERE coalesce(valid_to, '') = '' ORDER BY url")
+def c6_all_targets(spark, sf_dir):
+    return fetchlog.targets(table(spark, sf_dir, "people"))
+
+
 @query("""WITH u AS (SELECT DISTINCT url FROM people WHERE url IS NOT NULL UNION SELECT DISTINCT url || '#now' FROM people WHERE url NOT LIKE '%#%')
 SELECT split_part(url, '#', 1) AS base, list(url ORDER BY url) AS listed FROM u GROUP BY 1""")
 def c7_fan_out(spark, sf_dir):
