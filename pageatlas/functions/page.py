@@ -10,7 +10,7 @@ from pageatlas.functions.text import split_lines, strip
 #: What stamps and counters look like.
 VOLATILE = r"(?iU)^\W*(this page was\s+)?(last\s+)?(updated|modified|edited)\b.{0,60}$"
 COUNTER = r"(?iU)\b\d[\d,]*\s+(visitors?|views?|hits|visits)\b"
-STATED = r"(?i)(?:last\s+)?(?:updated|modified|edited)\s*(?:on|:|-)?\s*([^\n|]{4,40})"
+STATED = r"(?i)(?:last\s+)?(?:updated|modified|edited)\s*(?:on|:|-)?\s*([^\n\r|]{4,40})"
 DATE_FORMATS = ["yyyy-MM-dd", "d MMMM yyyy", "MMMM d, yyyy", "MMMM d yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM yyyy", "yyyy/MM/dd", "dd.MM.yyyy"]
 
 

@@ -270,10 +270,11 @@ _STAMPED = r"""(SELECT doc_id, coalesce(text, '') || chr(10) || chr(10) || chr(1
   WHEN 2 THEN '1,234 visitors since' ELSE 'updated 2026-01-04 | 12 views' END || '   ' || chr(10) || 'end' AS t FROM documents WHERE coalesce(text, '') NOT LIKE '%' || chr(13) || '%')"""
 
 
-def _stamped(spark, sf_dir):
+def _stamped(spark, sf_dir, every=False):
     tail = F.get(F.array(*map(F.lit, ("Last updated: March 2026", "  _This page was last modified on 3 March 2026_  ", "1,234 visitors since", "updated 2026-01-04 | 12 views"))), (F.col("doc_id") % 4).cast("int"))
     text = F.coalesce("text", F.lit(""))
-    return table(spark, sf_dir, "documents").where(~text.contains("\r")).select("doc_id", F.concat(text, F.lit("\n\n\n"), tail, F.lit("   \nend")).alias("t"))
+    docs = table(spark, sf_dir, "documents")
+    return (docs if every else docs.where(~text.contains("\r"))).select("doc_id", F.concat(text, F.lit("\n\n\n"), tail, F.lit("   \nend")).alias("t"))
 
 
 @query(rf"""SELECT doc_id, regexp_replace(regexp_replace(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: rtrim(regexp_replace(x, '(?i)\b\d[\d,]*\s+(visitors?|views?|hits|visits)\b', '', 'g'))),
@@ -288,6 +289,16 @@ def d3_stated_date(spark, sf_dir):
     return _stamped(spark, sf_dir).select("doc_id", page.stated_date(F.col("t")).alias("stated"))
 
 
+@query(None)
+def d4_all_texts(spark, sf_dir):
+    return _stamped(spark, sf_dir, every=True).select("doc_id", page.normalize(F.col("t")).alias("normal"))
+
+
+@query(None)
+def d3_all_texts(spark, sf_dir):
+    return _stamped(spark, sf_dir, every=True).select("doc_id", page.stated_date(F.col("t")).alias("stated"))
+
+
 @query("SELECT DISTINCT text_hash IS NOT DISTINCT FROM sha256(text_md) AS same, version_id, sha256(text_md) AS hashed FROM versions WHERE text_md IS NOT NULL")
 def d5_text_hash(spark, sf_dir):
     v = table(spark, sf_dir, "versions").where("text_md is not null")

@@ -27,6 +27,16 @@ def test_text_functions(spark):
     assert got.select(page.valid_quotes(F.col("q"), F.col("t")).alias("v")).first()["v"] == ["writing a novel about grief"]
 
 
+def test_texts_with_mixed_line_ends_meet_the_queries(spark, tmp_path):
+    import __spark_entry__
+
+    texts = [(0, "one\r\n12 views\rtwo\n"), (1, "plain"), (4, "a\rLast updated: 5 May 2020\r\nb"), (6, None)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    q = __spark_entry__.queries()
+    assert {r["doc_id"]: r["normal"] for r in q["d4_all_texts"](spark, str(tmp_path)).collect()} == {0: "one\n\ntwo\n\nend", 1: "plain\n\n  _This page was last modified on 3 March 2026_\nend", 4: "a\nb\n\nend", 6: "since\nend"}
+    assert {r["doc_id"]: r["stated"] for r in q["d3_all_texts"](spark, str(tmp_path)).collect()} == {0: "2026-03-01", 1: "2026-03-03", 4: "2020-05-05", 6: None}
+
+
 def test_denylist(spark):
     urls = spark.createDataFrame([("https://a.example/x#top",), ("https://sub.bad.example/",), ("https://notbad.example/",), ("no url",)], "url string")
     deny = spark.createDataFrame([(" Bad.example ",), ("",), ("https://A.example/x",)], "entry string")
