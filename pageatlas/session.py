@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _written: set[str] = set()
@@ -48,6 +49,21 @@ def durable(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     return out
 
 
+def numbered(df: DataFrame, name: str, *by) -> DataFrame:
+    """``df``, durable, with its rows' places 0, 1, 2, ... in the order of ``by``. Rows are sorted in ranges over
+    the tasks; only a number and a count per task come to the driver. ``by`` should leave no ties."""
+    at, within = F.col("_at"), F.col("_at").bitwiseAND((1 << 33) - 1)
+    rows = durable(df.orderBy(*by).withColumn("_at", F.monotonically_increasing_id()))
+    counts = sorted((r["p"], r["n"]) for r in rows.groupBy(F.shiftright(at, 33).alias("p")).agg(F.count("*").alias("n")).collect())
+    starts, n = [], 0
+    for p, k in counts:
+        starts.append((p, n))
+        n += k
+    offsets = df.sparkSession.createDataFrame(starts, "_p bigint, _start bigint")
+    out = rows.withColumn("_p", F.shiftright(at, 33)).join(F.broadcast(offsets), "_p")  # a row per task
+    return out.withColumn(name, F.col("_start") + within).drop("_at", "_p", "_start")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
