@@ -29,6 +29,10 @@ def p5_found(spark, sf_dir):
     ).distinct()
 
 
+def p5_recall(spark, sf_dir):
+    return vec.recall(vec.usable_vectors(table(spark, sf_dir, "focus_vectors")))
+
+
 def p6_found(spark, sf_dir):
     return pii.personal_information(*(table(spark, sf_dir, t) for t in ("versions", "extractions", "people")))
 
@@ -49,6 +53,10 @@ def p7_clusters(spark, sf_dir):
     return clusters.cluster_report(_clustered(spark, sf_dir), table(spark, sf_dir, "focuses"))
 
 
+def p7_recall(spark, sf_dir):
+    return vec.recall(vec.usable_vectors(table(spark, sf_dir, "focus_vectors")), k=10, target_recall=0.95)
+
+
 def p3_main_text(spark, sf_dir):
     return boilerplate.main_text(table(spark, sf_dir, "versions"))
 
@@ -95,9 +103,11 @@ QUERIES = {
     "p2_weights": p2_weights,
     "p3_found": p3_found,
     "p5_found": p5_found,
+    "p5_recall": p5_recall,
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_clusters": p7_clusters,
+    "p7_recall": p7_recall,
     "p3_main_text": p3_main_text,
     "p6_redacted": p6_redacted,
     "p8_pack": p8_pack,

@@ -1,29 +1,36 @@
 """Most similar vectors: a hierarchical k-means tree searched best bin first.
 
-The tree is fitted on the driver from a bounded sample (``SAMPLE`` vectors); every vector is routed
-through it and indexed. A query walks the tree with a priority queue, always opening the branch
-whose centre is most similar, and visits as many leaves as calibration on held-out queries against
-brute force asks for. Visits and members then meet leaf by leaf in one shuffle.
+The tree is fitted on a bounded sample and every vector is routed through it and indexed. Where its
+leaves stay crowded, because there are more vectors than a sample can part, each gets a tree of its
+own, fitted in a task on a bounded sample of that leaf, so that leaves grow in number with the data
+and not in size. A query opens branches through a priority queue, always the one that promises the
+most similar leaf, and widens its visits until what is left promises less than its own leaf by more
+than a slack. The slack is calibrated by brute force on queries that no tree was fitted on. A vector
+then travels once to each block of leaves it visits and meets the members there.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
-import zlib
+import pickle
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from pageatlas.session import durable
+from pageatlas.session import durable, numbered
 
-#: Vectors the tree is fitted on, held-out queries for calibration, and members one task compares at once.
-SAMPLE, HELD_OUT, BLOCK = 20_000, 300, 4_096
+#: Vectors a tree is fitted on (as many as expected of a hash sample, below the first level) and held-out queries.
+SAMPLE, HELD_OUT = 20_000, 300
 #: Children of a tree node, wanted members of a leaf, and sampled vectors a leaf needs at least.
-BRANCHES, LEAF_MEMBERS, LEAF_SAMPLE = 12, 200, 8
+BRANCHES, LEAF_MEMBERS, LEAF_SAMPLE = 24, 200, 8
+#: Leaves of one block, and members or visitors that one task compares at most; more are parted by hash.
+BLOCK_LEAVES, BLOCK = 16, 8_192
+#: A leaf's number is that of its first-level leaf times this, plus its own below it.
+SUB = 4_096
 
 
 def usable_vectors(vectors: DataFrame, model: str = "sentence-mini-64", kind: str = "focus", dim: int = 64) -> DataFrame:
@@ -38,68 +45,17 @@ def usable_vectors(vectors: DataFrame, model: str = "sentence-mini-64", kind: st
     )
 
 
-def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column as unit rows in float64."""
+def matrix(column: pa.ChunkedArray | pa.Array, kind=np.float64) -> np.ndarray:
+    """A list column as unit rows."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
     x = np.asarray(column.flatten(), dtype=np.float64).reshape(n, -1) if n else np.zeros((0, 1))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)).astype(kind, copy=False)
 
 
-class Tree:
-    """Nodes in depth-first order: ``centres``, ``children`` (empty for a leaf), ``leaf`` numbers."""
-
-    def __init__(self, x: np.ndarray, leaf_size: int, seed: int = 7):
-        self.centres: list[np.ndarray] = []
-        self.children: list[list[int]] = []
-        self.leaf: list[int] = []
-        self.n_leaves = 0
-        self._grow(x, leaf_size, np.random.default_rng(seed))
-        self.centres_m = np.vstack(self.centres)
-
-    def _grow(self, x: np.ndarray, leaf_size: int, rng: np.random.Generator) -> int:
-        me = len(self.centres)
-        c = x.mean(axis=0)
-        self.centres.append(c / max(np.linalg.norm(c), 1e-12))
-        self.children.append([])
-        self.leaf.append(-1)
-        parts = _kmeans(x, min(BRANCHES, max(2, len(x) // leaf_size)), rng) if len(x) > 1.5 * leaf_size else []
-        if len(parts) < 2:
-            self.leaf[me] = self.n_leaves
-            self.n_leaves += 1
-        else:
-            self.children[me] = [self._grow(x[p], leaf_size, rng) for p in parts]
-        return me
-
-    def plain(self) -> tuple:
-        """What workers need, in plain types."""
-        return self.centres_m, self.children, self.leaf
-
-
-def leaf_visits(tree: tuple, x: np.ndarray, most: int) -> list[list[int]]:
-    """The first ``most`` leaves of each row, best bin first."""
-    centres, children, leaf = tree
-    sims = x @ centres.T
-    out = []
-    for row in sims:
-        s = row.tolist()
-        heap, seen = [(-s[0], 0)], []
-        while heap and len(seen) < most:
-            node = heapq.heappop(heap)[1]
-            while children[node]:  # go down by the best child, keep its siblings for later
-                best, best_s = -1, -2.0
-                for c in children[node]:
-                    if s[c] > best_s:
-                        if best >= 0:
-                            heapq.heappush(heap, (-best_s, best))
-                        best, best_s = c, s[c]
-                    else:
-                        heapq.heappush(heap, (-s[c], c))
-                node = best
-            seen.append(leaf[node])
-        out.append(seen)
-    return out
+def _unit(c: np.ndarray) -> np.ndarray:
+    return c / max(np.linalg.norm(c), 1e-12)
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> list[np.ndarray]:
@@ -110,11 +66,121 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
         for j in range(k):
             m = x[at == j]
             if len(m):
-                c = m.mean(axis=0)
-                centres[j] = c / max(np.linalg.norm(c), 1e-12)
+                centres[j] = _unit(m.mean(axis=0))
     return [p for j in range(k) if len(p := np.flatnonzero(at == j))]
 
 
+class Tree:
+    """Nodes, parents before children: ``centres``, ``children`` (-1 where there is none), ``leaf``
+    numbers (-1 inside), and ``tight``: the mean similarity of a node's centre to the leaves below it."""
+
+    def __init__(self, x: np.ndarray, leaves: int, seed: int = 7):
+        x = x.astype(np.float32, copy=False)
+        self.n_leaves, self._centre, self._below, self._leaf, self._tight = 0, [], [], [], []
+        self._grow(x, max(2.0, len(x) / max(leaves, 1)), np.random.default_rng(seed))
+        self.centres = np.vstack(self._centre)
+        self.children = np.full((len(self._centre), BRANCHES), -1, dtype=np.int32)
+        for j, below in enumerate(self._below):
+            self.children[j, : len(below)] = below
+        self.leaf, self.tight = np.array(self._leaf), np.array(self._tight, dtype=np.float32)
+        del self._centre, self._below, self._leaf, self._tight
+
+    def _grow(self, x: np.ndarray, size: float, rng: np.random.Generator) -> tuple[int, list[np.ndarray]]:
+        me, c = len(self._centre), _unit(x.mean(axis=0))
+        self._centre.append(c)
+        self._below.append([])
+        self._leaf.append(-1)
+        self._tight.append(1.0)
+        parts = _kmeans(x, min(BRANCHES, max(2, round(len(x) / size))), rng) if len(x) > 1.5 * size else []
+        if len(parts) < 2:
+            self._leaf[me] = self.n_leaves
+            self.n_leaves += 1
+            return me, [c]
+        grown = [self._grow(x[p], size, rng) for p in parts]
+        self._below[me], ends = [g[0] for g in grown], [c for g in grown for c in g[1]]
+        self._tight[me] = min(1.0, max(0.05, float(np.mean(np.vstack(ends) @ c))))
+        return me, ends
+
+    def packed(self) -> bytes:
+        """What workers need, without its class, which they may not have."""
+        return pickle.dumps(self.__dict__)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Tree:
+        tree = cls.__new__(cls)
+        tree.__dict__ = pickle.loads(data)
+        return tree
+
+    def leaf_centres(self) -> np.ndarray:
+        at = np.flatnonzero(self.leaf >= 0)
+        return self.centres[at[np.argsort(self.leaf[at])]]
+
+    def promise(self, x: np.ndarray, nodes) -> np.ndarray:
+        """What similarity a leaf below each node may have: that of a row as near to it, of the angle to the
+        node's centre, as the mean leaf's angle to the centre allows. Of a leaf it is the similarity itself."""
+        s, t = np.clip(x @ self.centres[nodes].T, -1.0, 1.0), self.tight[nodes]
+        return np.where(s < t, s * t + np.sqrt((1 - s * s) * (1 - t * t)), np.where(t < 1, np.float32(1.0), s))
+
+    def keys(self, x: np.ndarray) -> np.ndarray:
+        """For every row and leaf the least promise on the way to it, down to which it would be opened."""
+        key = self.promise(x, np.arange(len(self.centres)))
+        for j, below in enumerate(self.children):
+            below = below[below >= 0]
+            key[:, below] = np.minimum(key[:, below], key[:, [j]])
+        at = np.flatnonzero(self.leaf >= 0)
+        return key[:, at[np.argsort(self.leaf[at])]]
+
+
+def open_bins(tree: Tree, x: np.ndarray, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, leaf, key) of the leaves that each row opens, best bin first.
+
+    Every row has a priority queue of nodes; each round all rows take the best of theirs and put its
+    children in. Without ``least`` a row ends with its first leaf, else once the best is below its least.
+    """
+    x = x.astype(np.float32, copy=False)
+    out: list[tuple] = []
+    for lo in range(0, len(x), 4_096):
+        out.append(_open(tree, x[lo : lo + 4_096], None if least is None else least[lo : lo + 4_096], lo))
+    return tuple(np.concatenate(a) for a in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32))
+
+
+def _open(tree: Tree, x: np.ndarray, least: np.ndarray | None, first: int):
+    n = len(x)
+    waits = np.full((n, 4 * BRANCHES), -np.inf, dtype=np.float32)
+    node = np.zeros((n, 4 * BRANCHES), dtype=np.int32)
+    used, active = np.ones(n, dtype=int), np.arange(n)
+    waits[:, 0] = np.inf
+    got: list[tuple] = []
+    while len(active):
+        at = waits[active].argmax(axis=1)
+        best, here = waits[active, at], node[active, at]
+        waits[active, at] = -np.inf
+        go = best > -np.inf if least is None else (best > -np.inf) & (best >= least[active])
+        active, best, here = active[go], best[go], here[go]
+        ends = tree.leaf[here] >= 0
+        if ends.any():
+            got.append((active[ends] + first, tree.leaf[here[ends]], best[ends]))
+        inner, nodes = active[~ends], here[~ends]
+        if len(inner) and used[inner].max() + BRANCHES > waits.shape[1]:
+            more = waits.shape[1]
+            waits = np.hstack([waits, np.full((n, more), -np.inf, dtype=np.float32)])
+            node = np.hstack([node, np.zeros((n, more), dtype=np.int32)])
+        order = np.argsort(nodes, kind="stable")
+        inner, nodes = inner[order], nodes[order]
+        cuts = np.flatnonzero(np.diff(nodes)) + 1
+        for rows, j in zip(np.split(inner, cuts), nodes[np.concatenate([[0], cuts])] if len(nodes) else []):
+            below = tree.children[j][tree.children[j] >= 0]
+            cols = used[rows][:, None] + np.arange(len(below))
+            waits[rows[:, None], cols] = tree.promise(x[rows], below)
+            node[rows[:, None], cols] = below
+            used[rows] += len(below)
+        if least is None:
+            active = active[~ends]
+    if not got:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32)
+    return tuple(np.concatenate(a) for a in zip(*got))
+
+
 def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the k best of each row: rounded to 9 decimals, earlier column first on ties."""
     r = np.round(sims, 9)
@@ -133,166 +199,255 @@ def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def classes_of(vectors: DataFrame, k: int) -> DataFrame:
-    """One row per distinct vector: (cid, vector, first): cid its smallest id, ``first`` its k + 1
-    smallest ids. The ranking keeps k + 1 rows per task before the shuffle, so a vector that a third
-    of all rows share stays small."""
+    """One row per distinct vector: (num, cid, vector, first): cid its smallest id, ``first`` its k + 1
+    smallest ids, ``num`` its place in the order of cid. The ranking keeps k + 1 rows per task before the
+    shuffle, so a vector that a third of all rows share stays small. Durable."""
     w = Window.partitionBy("vector").orderBy("id")
-    return (
+    classes = (
         vectors.withColumn("rn", F.row_number().over(w))
         .where(F.col("rn") <= k + 1)
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("id")).alias("first"))
         .select(F.element_at("first", 1).alias("cid"), "vector", "first")
     )
+    return numbered(classes, "num", "cid")
 
 
 class Index:
-    """Every distinct vector with its home leaf, the tree, and the calibrated number of visits."""
+    """``rows``: every distinct vector (num, vector, leaf, home), home its similarity to its leaf's centre;
+    the tree, the trees of crowded leaves, the slack and the recall that it reached in calibration."""
+
+    def __init__(self, tree: Tree | None, subs: DataFrame | None, rows: DataFrame, slack: float, recall: float):
+        self.tree, self.subs, self.rows, self.slack, self.recall = tree, subs, rows, slack, recall
+
+
+def _wanted_leaves(n: int, sampled: int) -> int:
+    return max(1, min(n // LEAF_MEMBERS, sampled // LEAF_SAMPLE))
+
 
-    def __init__(self, tree: Tree | None, routed: DataFrame, visits: int, recall: float, leaf_sizes: dict[int, int]):
-        self.tree, self.routed, self.visits, self.recall, self.leaf_sizes = tree, routed, visits, recall, leaf_sizes
+_ROWS = "num bigint, vector array<float>, leaf bigint, home double"
+
+
+def _trees_of_crowded(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(cell, tree, tight, members): a tree for each crowded first-level leaf, fitted in a task on about SAMPLE of its rows."""
+
+    def fit(t: pa.Table) -> pa.Table:
+        t = t.sort_by("num")
+        x, n = matrix(t["vector"], np.float32), t["members"][0].as_py()
+        tree = Tree(x, min(_wanted_leaves(n, len(x)), SUB - 1))
+        tight = float(np.mean(tree.leaf_centres() @ tree.centres[0]))
+        return pa.table({"cell": [t["cell"][0].as_py()], "tree": [tree.packed()], "tight": [tight], "members": [n]})
+
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(3), "num"), 12) / float(1 << 52)
+    some = rows.withColumn("cell", F.floor(F.col("leaf") / SUB)).join(crowded, "cell").where(share < SAMPLE / F.col("members"))
+    return durable(some.select("cell", "members", "num", "vector").groupBy("cell").applyInArrow(fit, "cell bigint, tree binary, tight double, members bigint"))
+
+
+def _with_trees(rows: DataFrame, subs: DataFrame, run, schema: str) -> DataFrame:
+    """``run(table, tree)`` over rows (cell, num, ...) of cells with a tree; a cell's rows are parted by hash."""
+    parts = F.ceil(F.col("members") / BLOCK)
+    left = rows.join(subs.select("cell", "members"), "cell").withColumn("part", F.pmod(F.xxhash64("num"), parts)).drop("members")
+    right = subs.select(F.col("cell").alias("tcell"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("tpart"), "tree")
+
+    def both(t: pa.Table, tree: pa.Table) -> pa.Table:
+        return run(t, Tree.unpacked(tree["tree"][0].as_py())) if t.num_rows else empty
+
+    empty = to_arrow_schema(T.StructType.fromDDL(schema)).empty_table()
+
+    return left.groupBy("cell", "part").cogroup(right.groupBy("tcell", "tpart")).applyInArrow(both, schema)
 
 
 def build_index(classes: DataFrame, k: int, target_recall: float) -> Index:
-    """Fit, route and calibrate. ``classes`` must be durable: (cid, vector, ...)."""
+    """Fit, route and calibrate. ``classes`` must be durable: (num, cid, vector, ...)."""
     spark = classes.sparkSession
     n = classes.count()
-    by_hash = F.xxhash64("cid")
-    sample = classes.select("cid", "vector").orderBy(by_hash, "cid").limit(SAMPLE).toArrow()
-    x = matrix(sample["vector"])
-    leaves = max(1, min(n // LEAF_MEMBERS, len(x) // LEAF_SAMPLE))
-    tree = Tree(x, max(2, len(x) // leaves)) if len(x) else None
-    if tree is None:
-        return Index(None, classes.withColumn("leaf", F.lit(0)), 1, 1.0, {})
-    shared = spark.sparkContext.broadcast(tree.plain())
-    schema = T.StructType([*classes.schema.fields, T.StructField("leaf", T.IntegerType())])
+    held_out = min(HELD_OUT, n // 4)
+    drawn = classes.select("num", "vector").orderBy(F.xxhash64("num"), "num").limit(held_out + SAMPLE).toArrow()  # bounded: SAMPLE
+    x = matrix(drawn["vector"], np.float32)
+    if not len(x):
+        return Index(None, None, classes.select("num", "vector", F.lit(0).cast("bigint").alias("leaf"), F.lit(1.0).alias("home")), 0.0, 1.0)
+    wanted = min(_wanted_leaves(n, len(x) - held_out), SUB - 1)
+    tree = Tree(x[held_out:], wanted)
+    shared = spark.sparkContext.broadcast(tree.packed())  # at most SAMPLE / LEAF_SAMPLE leaves
 
     def route(batches):
-        t = shared.value
+        tree = Tree.unpacked(shared.value)
         for b in batches:
-            home = [v[0] for v in leaf_visits(t, matrix(b.column("vector")), 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(home, pa.int32())], names=[*b.schema.names, "leaf"])
-
-    routed = durable(classes.mapInArrow(route, schema))
-    leaf_sizes = {r["leaf"]: r["count"] for r in routed.groupBy("leaf").count().collect()}
-
-    # calibration: true neighbours of held-out queries by brute force over all rows, in blocks
-    pick = np.random.default_rng(11).permutation(len(x))[:HELD_OUT]
-    held = spark.sparkContext.broadcast((x[pick], [sample["cid"][int(i)].as_py() for i in pick]))
+            row, leaf, key = open_bins(tree, matrix(b.column("vector"), np.float32))
+            order = np.argsort(row)
+            yield pa.RecordBatch.from_arrays([b.column("num"), b.column("vector"), pa.array(leaf[order].astype(np.int64) * SUB), pa.array(key[order].astype(float))], names=["num", "vector", "leaf", "home"])
+
+    rows = durable(classes.select("num", "vector").mapInArrow(route, _ROWS))
+    sizes = rows.groupBy(F.floor(F.col("leaf") / SUB).alias("cell")).agg(F.count("*").alias("members"))
+    crowded = sizes.where(F.col("members") > 2 * LEAF_MEMBERS)
+    subs = None
+    if n > 2 * LEAF_MEMBERS * wanted:  # the sample was too small for the leaves that n asks for
+        subs = _trees_of_crowded(rows, crowded)
+        for r in subs.select("cell", "tight").collect():  # at most a row per leaf of the first level
+            tree.tight[np.flatnonzero(tree.leaf == r["cell"])[0]] = min(1.0, max(0.05, r["tight"]))
+        at = rows.withColumn("cell", F.floor(F.col("leaf") / SUB))
+
+        def deeper(t: pa.Table, sub: Tree) -> pa.Table:
+            row, leaf, key = open_bins(sub, matrix(t["vector"], np.float32))
+            order = np.argsort(row)
+            return pa.table({"num": t["num"], "vector": t["vector"], "leaf": np.asarray(t["leaf"]) + leaf[order] + 1, "home": key[order].astype(float)})
+
+        rows = durable(_with_trees(at, subs, deeper, _ROWS).unionByName(at.join(subs.select("cell"), "cell", "left_anti").select(*rows.columns)))
+    if not held_out:
+        return Index(tree, subs, rows, 2.0, 1.0)
+    slack, recall = _calibrate(tree, subs, rows, drawn["num"].slice(0, held_out), x[:held_out], k, target_recall)
+    return Index(tree, subs, rows, slack, recall)
+
+
+def _calibrate(tree: Tree, subs: DataFrame | None, rows: DataFrame, nums, held: np.ndarray, k: int, target_recall: float) -> tuple[float, float]:
+    """The slack down to which held-out queries open the leaves of so large a share of their true neighbours."""
+    spark = rows.sparkSession
+    own = nums.to_pylist()
+    shared = spark.sparkContext.broadcast((own, held.astype(np.float64)))
 
     def brute(batches):
-        q, own = held.value
+        own, q = shared.value
+        at = {c: i for i, c in enumerate(own)}
         for b in batches:
+            ids = b.column("num").to_pylist()
             sims = q @ matrix(b.column("vector")).T
-            ids = b.column("cid").to_pylist()
-            at = {c: j for j, c in enumerate(ids)}
-            for i, c in enumerate(own):
-                if c in at:
-                    sims[i, at[c]] = -9
+            mine = [(at[c], j) for j, c in enumerate(ids) if c in at]
+            if mine:
+                i, j = zip(*mine)
+                sims[list(i), list(j)] = -9
             row, col = _best(sims, k)
-            leaf = np.asarray(b.column("leaf"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row, pa.int32()), pa.array([ids[j] for j in col]), pa.array(leaf[col], pa.int32()), pa.array(sims[row, col])],
-                names=["q", "cid", "leaf", "sim"],
-            )
-
-    ranked = Window.partitionBy("q").orderBy(F.desc(F.round("sim", 9)), "cid")
-    truth = (
-        routed.select("cid", "vector", "leaf")
-        .mapInArrow(brute, "q int, cid string, leaf int, sim double")
-        .withColumn("rn", F.row_number().over(ranked))
-        .where(F.col("rn") <= k)
-        .select("q", "leaf")
-        .collect()
-    )
-    order = leaf_visits(tree.plain(), held.value[0], tree.n_leaves)
-    place = [{leaf: i for i, leaf in enumerate(v)} for v in order]
-    needed = np.sort([place[r["q"]][r["leaf"]] + 1 for r in truth])
-    if not len(needed):
-        return Index(tree, routed, 1, 1.0, leaf_sizes)
-    visits = int(needed[min(len(needed) - 1, math.ceil(target_recall * len(needed)) - 1)])
-    return Index(tree, routed, visits, float((needed <= visits).mean()), leaf_sizes)
+            num, leaf = np.asarray(b.column("num")), np.asarray(b.column("leaf"))
+            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int32()), pa.array(num[col]), pa.array(leaf[col]), pa.array(sims[row, col])], names=["q", "num", "leaf", "sim"])
+
+    ranked = Window.partitionBy("q").orderBy(F.desc(F.round("sim", 9)), "num")
+    truth = rows.select("num", "vector", "leaf").mapInArrow(brute, "q int, num bigint, leaf bigint, sim double").withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= k)
+    truth = truth.select("q", "leaf")
+    home = {r["num"]: r["home"] for r in rows.where(F.col("num").isin(own)).select("num", "home").collect()}
+    key = tree.keys(held)
+    if subs is None:
+        found = [(r["q"], r["leaf"], np.inf) for r in truth.collect()]  # k rows a held-out query
+    else:
+        queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(held)], "q int, vector array<float>")
+        pairs = truth.join(queries, "q").select(F.floor(F.col("leaf") / SUB).alias("cell"), F.col("q").cast("bigint").alias("num"), "leaf", "vector")
 
+        def inside(t: pa.Table, sub: Tree) -> pa.Table:
+            keys = sub.keys(matrix(t["vector"], np.float32))
+            leaf = np.asarray(t["leaf"]) % SUB - 1
+            return pa.table({"q": t["num"], "leaf": t["leaf"], "key": keys[np.arange(len(leaf)), leaf].astype(float)})
+
+        below = _with_trees(pairs, subs, inside, "q bigint, leaf bigint, key double").unionByName(pairs.join(subs.select("cell"), "cell", "left_anti").select(F.col("num").alias("q"), "leaf", F.lit(float("inf")).alias("key")))
+        found = [(r["q"], r["leaf"], r["key"]) for r in below.collect()]
+    short = np.sort([max(0.0, home[own[q]] - min(float(key[q, leaf // SUB]), sub)) for q, leaf, sub in found])
+    if not len(short):
+        return 2.0, 1.0
+    slack = float(short[min(len(short) - 1, math.ceil(target_recall * len(short)) - 1)]) + 1e-6
+    return slack, float((short <= slack).mean())
+
+
+_VISIT = "num bigint, vector array<float>, block bigint, leaves array<bigint>"
+
+
+def _by_block(num, vectors: pa.Array, row: np.ndarray, leaf: np.ndarray) -> pa.RecordBatch:
+    """Visits (row, leaf) as a row per vector and block, with the leaves there."""
+    block = leaf // BLOCK_LEAVES
+    order = np.lexsort((leaf, block, row))
+    row, leaf, block = row[order], leaf[order], block[order]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(block) != 0)])) if len(row) else np.zeros(0, int)
+    ends = np.concatenate([new, [len(row)]]).astype(np.int32)
+    at = pa.array(row[new].astype(np.int64))
+    return pa.RecordBatch.from_arrays([num.take(at), vectors.take(at), pa.array(block[new]), pa.ListArray.from_arrays(ends, pa.array(leaf.astype(np.int64)))], names=["num", "vector", "block", "leaves"])
 
-def class_neighbours(index: Index, k: int) -> DataFrame:
-    """(cid, ids, sims): the k most similar other distinct vectors, best first."""
-    routed, visits, sizes = index.routed, index.visits, index.leaf_sizes
-    spark = routed.sparkSession
-    if index.tree is None:
-        return routed.select("cid", F.array().cast("array<string>").alias("ids"), F.array().cast("array<double>").alias("sims"))
-    # crowded leaves: members in parts of BLOCK rows, and their visitors in parts as well
-    parts = {leaf: math.ceil(s / BLOCK) for leaf, s in sizes.items() if s > BLOCK}
-    shared = spark.sparkContext.broadcast((index.tree.plain(), parts))
 
-    def spread(batches):
-        tree, parts = shared.value
+def _visits(index: Index) -> DataFrame:
+    """(num, vector, block, leaves): where each vector looks."""
+    spark, slack, nested = index.rows.sparkSession, index.slack, index.subs is not None
+    shared = spark.sparkContext.broadcast(index.tree.packed())
+
+    def run(batches):
+        tree = Tree.unpacked(shared.value)
         for b in batches:
-            leaf, home, part, ask, vpart = [], b.column("leaf").to_pylist(), [], [], []
-            at = []
-            for i, seen in enumerate(leaf_visits(tree, matrix(b.column("vector")), visits)):
-                h = zlib.crc32(b.column("cid")[i].as_py().encode())
-                p = parts.get(home[i], 1)
-                for v in range(p):  # a member meets every part of its leaf's visitors
-                    at.append(i); leaf.append(home[i]); part.append(h % p); vpart.append(v); ask.append(False)  # noqa: E702
-                for s in seen:
-                    p = parts.get(s, 1)
-                    for m in range(p):
-                        at.append(i); leaf.append(s); part.append(m); vpart.append(h // 7919 % p); ask.append(True)  # noqa: E702
-            at = pa.array(at, pa.int64())
-            for lo in range(0, len(at), 20_000):
-                cut = slice(lo, lo + 20_000)
-                some = at[cut]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("cid").take(some), b.column("vector").take(some), pa.array(leaf[cut], pa.int32()),
-                     pa.array(part[cut], pa.int32()), pa.array(vpart[cut], pa.int32()), pa.array(ask[cut])],
-                    names=["cid", "vector", "leaf", "part", "vpart", "asks"],
-                )
-
-    def compare(table: pa.Table) -> pa.Table:
-        asks = table["asks"].combine_chunks()
-        q = table.filter(asks)
-        m = table.filter(pa.compute.invert(asks)).sort_by("cid")
-        ids, members = m["cid"].combine_chunks(), matrix(m["vector"])
-        at = {c: j for j, c in enumerate(ids.to_pylist())}
-        out = []
-        for lo in range(0, q.num_rows if len(ids) else 0, 2_048):
-            some = q.slice(lo, 2_048)
-            qid = some["cid"].to_pylist()
-            sims = matrix(some["vector"]) @ members.T
-            own = [(i, at[c]) for i, c in enumerate(qid) if c in at]
-            if own:
-                r, c = zip(*own)
-                sims[list(r), list(c)] = -9
-            row, col = _best(sims, k)
-            ends = np.searchsorted(row, np.arange(len(qid) + 1)).astype(np.int32)
-            out.append(
-                pa.table(
-                    {
-                        "cid": some["cid"].combine_chunks(),
-                        "near": pa.ListArray.from_arrays(
-                            ends,
-                            pa.StructArray.from_arrays(
-                                [pa.array(-np.round(sims[row, col], 9)), ids.take(pa.array(col))], names=["far", "id"]
-                            ),
-                        ),
-                    }
-                )
-            )
-        schema = pa.schema([("cid", pa.string()), ("near", pa.list_(pa.struct([("far", pa.float64()), ("id", pa.string())])))])
-        return pa.concat_tables([t.cast(schema) for t in out]) if out else schema.empty_table()
-
-    met = (
-        routed.select("cid", "vector", "leaf")
-        .mapInArrow(spread, "cid string, vector array<float>, leaf int, part int, vpart int, asks boolean")
-        .groupBy("leaf", "part", "vpart")
-        .applyInArrow(compare, "cid string, near array<struct<far:double,id:string>>")
-    )
-    near = F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k)
-    return (
-        met.groupBy("cid")
-        .agg(near.alias("near"))
-        .select("cid", F.col("near.id").alias("ids"), F.transform("near.far", lambda d: -d).alias("sims"))
-    )
+            x, home = matrix(b.column("vector"), np.float32), np.asarray(b.column("home"))
+            row, leaf, _ = open_bins(tree, x, (home - slack).astype(np.float32))
+            # its own leaf is visited in any case
+            row, leaf = np.concatenate([row, np.arange(len(x))]), np.concatenate([leaf.astype(np.int64) * SUB, np.asarray(b.column("leaf")) // SUB * SUB])
+            both = np.unique(np.stack([row, leaf]), axis=1)
+            if not nested:
+                yield _by_block(b.column("num"), b.column("vector"), both[0], both[1] // SUB)
+            else:
+                at = pa.array(both[0])
+                yield pa.RecordBatch.from_arrays([b.column("num").take(at), b.column("vector").take(at), pa.array(both[1] // SUB), pa.array(home[both[0]] - slack), b.column("leaf").take(at)], names=["num", "vector", "cell", "least", "leaf"])
+
+    looked = index.rows.select("num", "vector", "leaf", "home")
+    if not nested:
+        return looked.mapInArrow(run, _VISIT)
+    cells = durable(looked.mapInArrow(run, "num bigint, vector array<float>, cell bigint, least double, leaf bigint"))
+
+    def deeper(t: pa.Table, sub: Tree) -> pa.Table:
+        x, cell, own = matrix(t["vector"], np.float32), np.asarray(t["cell"]), np.asarray(t["leaf"])
+        row, leaf, _ = open_bins(sub, x, np.asarray(t["least"]).astype(np.float32))
+        home = np.flatnonzero(own // SUB == cell)
+        row, leaf = np.concatenate([row, home]), np.concatenate([cell[row] * SUB + leaf + 1, own[home]])
+        both = np.unique(np.stack([row, leaf]), axis=1)
+        t = t.combine_chunks()
+        return pa.Table.from_batches([_by_block(t["num"].combine_chunks(), t["vector"].combine_chunks(), both[0], both[1])])
+
+    plain = cells.join(index.subs.select("cell"), "cell", "left_anti").select("num", "vector", F.floor(F.col("cell") * SUB / BLOCK_LEAVES).alias("block"), F.array(F.col("cell") * SUB).alias("leaves"))
+    visits = cells.groupBy("cell").agg(F.count("*").alias("members"))  # visitors, not members, fill the parts here
+    return _with_trees(cells, index.subs.drop("members").join(visits, "cell"), deeper, _VISIT).unionByName(plain)
+
+
+def class_neighbours(index: Index, k: int) -> DataFrame:
+    """(num, near): of each distinct vector the k most similar others, structs (far, num), best first; far is
+    the negative similarity, rounded to 9 decimals."""
+    if index.tree is None:
+        return index.rows.select("num", F.array().cast("array<struct<far:double,num:bigint>>").alias("near"))
+    leaf = F.col("leaf") if index.subs is not None else F.floor(F.col("leaf") / SUB)
+    members = index.rows.select("num", "vector", leaf.alias("leaf")).withColumn("block", F.floor(F.col("leaf") / BLOCK_LEAVES))
+    visits = durable(_visits(index))
+    # blocks with more members or visitors than a task compares are parted, both ways
+    count = lambda df, name: df.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    crowded = durable(count(members, "m").join(count(visits, "v"), "block").where("m > 1 or v > 1"))
+    parted = lambda df: df.join(crowded, "block", "left").fillna(1, ["m", "v"])
+    hashed = lambda n: F.pmod(F.xxhash64("num"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    there = parted(members).select("num", "vector", "block", F.array("leaf").alias("leaves"), hashed("m").alias("mpart"), spread("v").alias("vpart"), F.lit(False).alias("asks"))
+    come = parted(visits).select("num", "vector", "block", "leaves", spread("m").alias("mpart"), hashed("v").alias("vpart"), F.lit(True).alias("asks"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        asks = t["asks"].combine_chunks()
+        q, m = t.filter(asks), t.filter(pa.compute.invert(asks))
+        m = m.append_column("leaf", pa.compute.list_flatten(m["leaves"])).sort_by([("leaf", "ascending"), ("num", "ascending")])
+        x, y = matrix(q["vector"]), matrix(m["vector"])
+        qnum, mnum, mleaf = np.asarray(q["num"]), np.asarray(m["num"]), np.asarray(m["leaf"])
+        lens = np.asarray(pa.compute.list_value_length(q["leaves"]), dtype=np.int64) if len(x) else np.zeros(0, np.int64)
+        row, want = np.repeat(np.arange(len(x)), lens), np.asarray(pa.compute.list_flatten(q["leaves"]))
+        order = np.argsort(want, kind="stable")
+        row, want = row[order], want[order]
+        rows, cols, vals = [], [], []
+        for leaf in np.unique(want):
+            lo, hi = np.searchsorted(mleaf, [leaf, leaf + 1])
+            some = row[np.searchsorted(want, leaf) : np.searchsorted(want, leaf, side="right")]
+            for at in range(0, len(some) if hi > lo else 0, 2_048):
+                r = some[at : at + 2_048]
+                sims = x[r] @ y[lo:hi].T
+                same = np.searchsorted(mnum[lo:hi], qnum[r])
+                ok = (same < hi - lo) & (mnum[lo:hi][np.minimum(same, hi - lo - 1)] == qnum[r])
+                sims[np.flatnonzero(ok), same[ok]] = -9
+                i, j = _best(sims, k)
+                rows.append(r[i])
+                cols.append(j + lo)
+                vals.append(np.round(sims[i, j], 9))
+        i, j, s = (np.concatenate(a) if a else np.zeros(0, kind) for a, kind in ((rows, int), (cols, int), (vals, float)))
+        order = np.lexsort((mnum[j], -s, i)) if len(i) else np.zeros(0, int)
+        i, j, s = i[order], j[order], s[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        i, j, s = i[keep], j[keep], s[keep]
+        ends = np.searchsorted(i, np.arange(len(x) + 1)).astype(np.int32)
+        near = pa.StructArray.from_arrays([pa.array(-s), pa.array(mnum[j] if len(j) else np.zeros(0, np.int64))], names=["far", "num"])
+        return pa.table({"num": pa.array(qnum, pa.int64()), "near": pa.ListArray.from_arrays(ends, near)})
+
+    met = there.unionByName(come).groupBy("block", "mpart", "vpart").applyInArrow(compare, "num bigint, near array<struct<far:double,num:bigint>>")
+    return met.groupBy("num").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
 
 
 def most_similar(vectors: DataFrame, k: int = 5, target_recall: float = 0.985) -> DataFrame:
@@ -304,35 +459,70 @@ def most_similar(vectors: DataFrame, k: int = 5, target_recall: float = 0.985) -
     neighbours that calibration has to reach on held-out queries. Fewer than k other rows give as
     many neighbours as there are; one row or none gives no rows.
     """
-    classes = durable(classes_of(vectors, k))
-    found = class_neighbours(build_index(classes, k, target_recall), k)
-    firsts = classes.select("cid", "first")
+    classes = classes_of(vectors, k)
+    return _of_rows(vectors, classes, class_neighbours(build_index(classes, k, target_recall), k), k)
+
+
+def _of_rows(vectors: DataFrame, classes: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """The neighbours of distinct vectors, as rows of ids."""
+    firsts = classes.select("num", "first")
+    struct = "array<struct<far:double,id:string>>"
     # candidates of a class: the first ids of itself and of its neighbours
     pool = (
-        found.select("cid", F.explode(F.arrays_zip(F.col("ids").alias("ids"), F.col("sims").alias("sims"))).alias("n"))
-        .select("cid", F.col("n.ids").alias("other"), F.col("n.sims").alias("sim"))
-        .join(firsts.select(F.col("cid").alias("other"), "first"), "other")
-        .groupBy("cid")
-        .agg(
-            F.flatten(
-                F.collect_list(F.transform("first", lambda i: F.struct((-F.col("sim")).alias("far"), i.alias("id"))))
-            ).alias("others")
-        )
+        found.select("num", F.explode("near").alias("n"))
+        .select("num", F.col("n.num").alias("other"), F.col("n.far").alias("far"))
+        .join(firsts.select(F.col("num").alias("other"), "first"), "other")
+        .groupBy("num")
+        .agg(F.flatten(F.collect_list(F.transform("first", lambda i: F.struct(F.col("far"), i.alias("id"))))).alias("others"))
     )
     own = F.transform("first", lambda i: F.struct(F.lit(-1.0).alias("far"), i.alias("id")))
-    candidates = firsts.join(pool, "cid", "left").select(
-        "cid", "first", F.sort_array(F.concat(own, F.coalesce("others", F.array().cast("array<struct<far:double,id:string>>")))).alias("near")
-    )
+    candidates = firsts.join(pool, "num", "left").select("num", "first", F.sort_array(F.concat(own, F.coalesce("others", F.array().cast(struct)))).alias("near"))
+    known = candidates.select(F.explode("first").alias("id"), "near")
     # the members beyond the first ones (of vectors shared by more than k + 1 rows) find their class by vector
-    per_class = candidates.join(classes.select("cid", "vector"), "cid")
-    known = per_class.select(F.explode("first").alias("id"), "near")
-    crowded = per_class.where(F.size("first") > k).select("vector", "first", "near")
-    rest = (
-        vectors.join(crowded, "vector").where(~F.array_contains("first", F.col("id"))).select("id", "near")
-    )
+    crowded = candidates.where(F.size("first") > k).join(classes.select("num", "vector"), "num").select("vector", "first", "near")
+    rest = vectors.join(crowded, "vector").where(~F.array_contains("first", F.col("id"))).select("id", "near")
     mine = F.slice(F.filter("near", lambda s: s["id"] != F.col("id")), 1, k)
     return (
         known.unionByName(rest)
         .select("id", F.posexplode(mine))
         .select("id", F.col("col.id").alias("neighbour"), (F.col("pos") + 1).alias("rank"), (-F.col("col.far")).alias("similarity"))
     )
+
+
+def recall(vectors: DataFrame, k: int = 5, target_recall: float = 0.985, every: int = 50, block: int = 2_048) -> DataFrame:
+    """(queries, pairs, found, recall, calibrated, slack): the search against brute force, of every distinct vector whose
+    number is divisible by ``every``, over all distinct vectors. Queries and rows meet in pairs of blocks,
+    so neither is ever held as a whole. ``calibrated`` is what held-out queries reached."""
+    classes = classes_of(vectors, k)
+    index = build_index(classes, k, target_recall)
+    asked = F.col("num") % every == 0
+    got = class_neighbours(index, k).where(asked).select("num", F.explode("near.num").alias("other"))
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.sort_by("num")
+        return pa.table({"b": [t["b"][0].as_py()], "nums": [np.asarray(t["num"]).tobytes()], "x": [matrix(t["vector"]).tobytes()]})
+
+    def packed(df: DataFrame, step: int) -> DataFrame:
+        return durable(df.select(F.floor(F.col("num") / step).alias("b"), "num", "vector").groupBy("b").applyInArrow(pack, "b bigint, nums binary, x binary"))
+
+    queries, rows = packed(classes.where(asked), every * block), packed(classes, 2 * block)
+    blocks = queries.select("b")
+
+    def meet(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                q, m = np.frombuffer(r["qnums"], np.int64), np.frombuffer(r["nums"], np.int64)
+                sims = np.frombuffer(r["qx"]).reshape(len(q), -1) @ np.frombuffer(r["x"]).reshape(len(m), -1).T
+                sims[q[:, None] == m[None, :]] = -9
+                i, j = _best(sims, k)
+                yield pa.RecordBatch.from_arrays([pa.array(q[i]), pa.array(m[j]), pa.array(np.round(sims[i, j], 9))], names=["num", "other", "sim"])
+
+    all_blocks = F.broadcast(blocks.agg(F.sort_array(F.collect_list("b")).alias("qbs")))  # a number per 100,000 vectors
+    pairs = rows.crossJoin(all_blocks).select("nums", "x", F.explode("qbs").alias("qb"))  # with a single row
+    met = pairs.join(queries.select(F.col("b").alias("qb"), F.col("nums").alias("qnums"), F.col("x").alias("qx")), "qb").repartition(F.xxhash64("qb", "nums")).mapInArrow(meet, "num bigint, other bigint, sim double")
+    w = Window.partitionBy("num").orderBy(F.desc("sim"), "other")
+    truth = met.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).select("num", "other")
+    hit = truth.join(got.withColumn("hit", F.lit(True)), ["num", "other"], "left")
+    return hit.agg(
+        F.count_distinct("num").alias("queries"), F.count("*").alias("pairs"), F.count_if("hit").alias("found"), F.round(F.count_if("hit") / F.greatest(F.count("*"), F.lit(1)), 4).alias("recall")
+    ).select("*", F.lit(round(index.recall, 4)).alias("calibrated"), F.lit(round(index.slack, 6)).alias("slack"))
