@@ -1,16 +1,21 @@
 """Per-document text statistics, and which documents are no running prose.
 
 Each text is cut into segments, runs of lines that flow or runs of lines that are set in a pattern.
-Their standardised statistics are fitted with a Gaussian mixture by expectation-maximisation over
-all segments of all documents; every step is one pass that returns sums of a fixed size. Components
-start from, and get their meaning by, inspected examples of prose, lists, tables and junk. A document
-is found if most of its characters lie in segments that are not prose.
+Their standardised statistics are fitted with a Gaussian mixture by expectation-maximisation: several
+starts on a bounded sample, then steps over all segments of all documents, each one pass that returns
+sums of a fixed size, until the likelihood no longer rises. Components are free; what each of them is
+- prose, a list, a table or junk - is told afterwards by the inspected example that it takes for its
+own most. A document is found if most of its characters lie in segments that are not prose.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
+import string
+import textwrap
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -23,9 +28,13 @@ from pageatlas.session import durable
 #: Statistics of a segment, in this order.
 STATISTICS = ("log_words_a_line", "mean_word_length", "symbol_ratio", "digit_ratio", "punctuated_lines", "common_words", "coherence", "repeated_sentences", "repeated_words", "patterned", "case_breaks")
 D = len(STATISTICS)
-EM_STEPS = 6
-#: Least weight of an example in its component's mean, in segments, and bounds of a standardised variance.
-ANCHOR, FLOOR, CEILING = 25.0, 0.06, 0.35
+#: Components; starts, and segments of the sample they run on; a rise of the mean log-likelihood that no longer
+#: counts, and steps after which a fit that still rises is given up on with a warning.
+COMPONENTS, STARTS, SAMPLE, TOLERANCE, MOST_STEPS = 32, 12, 10_000, 1e-3, 100
+#: Least standardised variance, and the weight, in segments, with which a variance starts from PRIOR.
+FLOOR, PRIOR, PRIOR_WEIGHT = 0.05, 0.25, 30.0
+#: Words of a window in which repetitions count.
+WINDOW = 50
 #: A pair of common words is usual if it occurs more often than by chance and in such a share of documents.
 USUAL_PAIR = 5e-4
 
@@ -74,6 +83,14 @@ def segments(text: str | None) -> list[tuple[str, float]]:
     return [("\n".join(x), m / len(x)) for x, m in zip(out, marks)]
 
 
+def _repeated(words: list[str]) -> float:
+    """Share of words that stand earlier in their window, so that it doesn't grow with the text."""
+    if len(words) < 10:
+        return 0.0
+    windows = [words[i : i + WINDOW] for i in range(0, max(1, len(words) - WINDOW // 2), WINDOW)]
+    return sum(1 - len(set(w)) / len(w) for w in windows) / len(windows)
+
+
 def statistics(text: str, common: frozenset[str], usual: frozenset[tuple[str, str]] | None, patterned: float | None = None) -> list[float]:
     """STATISTICS of one segment or text."""
     lines = [x for x in text.splitlines() if x.strip()] or [text]
@@ -99,14 +116,15 @@ def statistics(text: str, common: frozenset[str], usual: frozenset[tuple[str, st
         sum(known) / n,
         (good + 2.0) / (pairs + 2.5),
         1 - len(set(sentences)) / len(sentences) if len(sentences) > 3 else 0.0,
-        1 - len(set(words)) / n,
+        _repeated(words),
         sum(map(_patterned, lines)) / len(lines) if patterned is None else patterned,
         (sum(breaks) + 0.05) / (len(breaks) + 1.0),
     ]
 
 
-def usual_pairs(documents: DataFrame, common: frozenset[str]) -> frozenset[tuple[str, str]]:
-    """Pairs of neighbouring common words that occur together more often than by chance.
+def usual_pairs(documents: DataFrame, common: frozenset[str]) -> tuple[frozenset[tuple[str, str]], float]:
+    """Pairs of neighbouring common words that occur together more often than by chance, and how often
+    words in no order would make one of them.
 
     Counted once a document over all documents; the result has at most |common|² pairs, as many as
     come to the driver at most.
@@ -132,77 +150,174 @@ def usual_pairs(documents: DataFrame, common: frozenset[str]) -> frozenset[tuple
         left[a] += k
         right[b] += k
     whole = max(sum(n.values()), 1)
-    return frozenset(p for p, k in n.items() if k >= max(2, USUAL_PAIR * docs) and k * whole > left[p[0]] * right[p[1]])
-
-
-#: Inspected examples: (class, text). Our own words, after kinds of text that occur.
-EXAMPLES = [
-    ("prose", "We planted beans along the wall, and it rained for most of the week. In the evening I read, and that is enough for me. What I did not expect was how much I would like it."),
-    ("prose", "Wir haben den Garten umgegraben, und es hat die ganze Woche geregnet. Am Abend lese ich, und das ist genug für mich. Ich habe nicht erwartet, dass es mir so gefällt."),
-    ("prose", "Nous avons planté des haricots le long du mur, et il a plu toute la semaine. Le soir je lis, et cela me suffit. Je ne pensais pas que cela me plairait autant."),
-    ("prose", "Plantamos judías junto al muro, y llovió casi toda la semana. Por la noche leo, y con eso me basta. No esperaba que me gustara tanto todo esto."),
-    ("foreign", "Wij hebben bonen langs de muur geplant en het regende bijna de hele week. In de avond lees ik en dat is genoeg voor mij. Soms lukt het en soms niet, maar dat is goed. Ik had niet verwacht dat ik het zo leuk zou vinden en dat het zo zou gaan."),
-    ("foreign", "Abbiamo piantato i fagioli lungo il muro e ha piovuto quasi tutta la settimana. La sera leggo e questo mi basta. A volte funziona e a volte no, ma va bene. Non pensavo che mi sarebbe piaciuto così tanto e che andasse a finire così."),
-    ("bare prose", "we planted beans along the wall and it rained for most of the week in the evening i read and that is enough for me what i did not expect was how much i would like it and how little of it was any work at all"),
-    ("bare prose", "wir haben den garten umgegraben und es hat die ganze woche geregnet am abend lese ich und das ist genug für mich ich habe nicht erwartet dass es mir so gefällt und dass es so wenig arbeit ist"),
-    ("bare prose", "wij hebben bonen langs de muur geplant en het regende bijna de hele week in de avond lees ik en dat is genoeg voor mij soms lukt het en soms niet maar dat is goed zo ik had niet verwacht dat ik het zo leuk zou vinden"),
-    ("bare prose", "abbiamo piantato i fagioli lungo il muro e ha piovuto quasi tutta la settimana la sera leggo e questo mi basta a volte funziona e a volte no ma va bene non pensavo che mi sarebbe piaciuto così tanto"),
-    ("bare prose", "The seed order is late again. we planted beans along the wall and it rained for most of the week in the evening i read and that is enough for me. what i did not expect was how much i would like it"),
-    ("bare prose", "Der Zug war zu spät. wir haben den garten umgegraben und es hat die ganze woche geregnet am abend lese ich und das ist genug für mich. ich habe nicht erwartet dass es mir so gefällt"),
-    ("prose", "We planted beans along the wall, and that is enough for me."),
-    ("prose", "Wir haben den Garten umgegraben, und das ist auch gut so."),
-    ("wrapped prose", "We planted beans along the wall, and it rained for \nmost of the week. In the evening I read, and that is \nenough for me. What I did not expect was how much I \nwould like it, or how little of it was work. By the \ntime you read this I will be at it again."),
-    ("list", "- mending a gate\n- reading about bees\n- walking to work\n- a shed for the boat\n- learning to weave\n- cooking for six"),
-    ("list", "1. Silver Harbor (1990)\n2. Low Meadow (1968)\n3. Amber Gate (2018)\n4. Quiet Orchard (1994)\n5. North Field (2003)"),
-    ("list", "[x] on weekends: gate\n[ ] before breakfast: shed\n[x] since the autumn: boat\n[ ] most evenings: letters\n[x] this spring: beans"),
-    ("list", "(1) At home — mending a gate most evenings\n(2) Work — reading about bees before breakfast\n(3) Now — walking to the office on weekends\n(4) On my mind — weaving baskets this spring"),
-    ("list", "Home\nAbout\nNotes\nPhotos\nHome\nContact\nProjects\nNow\nArchive\nGuestbook\nBlog\nUses\nHome\nAbout\nNotes"),
-    ("list", "Beans, gate, shed\nBoat, letters, bees\nWall, evening, beans\nGate, boat, orchard\nShed, bees, wall"),
-    ("list", "• Lindhaven – Sweden\n• Oldbrook – United States\n• Saint-Marc – France\n• Grünau – Germany\n• Puerto Claro – Spain"),
-    ("table", "| date | place | km |\n|---|---|---|\n| 2025-04-07 | Oldbrook | 17.72 |\n| 2025-05-05 | Lindhaven | 34.69 |\n| 2025-07-22 | Grünau | 30.47 |"),
-    ("table", "2025-08-11;gate;24;23.91;72\n2025-06-15;shed;54;38.05;162\n2025-12-28;boat;72;19.23;216\n2026-01-30;bees;37;15.45;111"),
-    ("table", "2025-08-23\tOldbrook\t38\t25.45\n2025-12-05\tGrünau\t53\t12.82\n2025-06-27\tLindhaven\t54\t15.48\n2025-09-09\tSaint-Marc\t78\t24.62"),
-    ("table", "gate              34     17.37     51.37\nshed              83     31.81    114.81\nboat              21      8.01     29.01\nbees               3     10.60     13.60"),
-    ("table", "gate: 82 / 85 / 20.81 kg\nshed: 53 / 56 / 18.38 kg\nboat: 49 / 52 / 37.26 kg\nbees: 33 / 36 / 16.82 kg"),
-    ("junk", "2026-02-12 08:18 WARN [gate] code=4271 retry=7 at 0xbdd6cb43\n2026-03-19 00:44 WARN [shed] code=479 retry=8 at 0xccee5934\n2026-03-15 09:50 WARN [boat] code=1931 retry=0 at 0x47ed1b73"),
-    ("junk", '<div class="gate-10"><a href="/shed">{{ boat }}</a></div>\n<div class="bees-14"><a href="/wall">{{ gate }}</a></div>\n<div class="boat-68"><a href="/beans">{{ shed }}</a></div>'),
-    ("numbers", "6812 31969 8011 938593 269 226930 95833 5560 28902425 984339 994868 2750 63244135 2575 502551 11 69 94 9825472 53399042"),
-    ("numbers", "24 25 259 9 9844745 7 6 5269 301 608 2271712 22 365322 9 812390 14 85359504 88 9 936904 4091 5109112"),
-    ("encoded", "QmFz84Fmkmeu51373pKAgdHtzySxpe6Sa6qLwVra8dkjsvcJrSt1LqFnFd07cr9JkmmVmQUHykZw\nzoMqOAwVF+6GvXGQHbAQMH6mPEPdsha0g1322CM5q5+oDV3IZQDaqUo4YfYkrDjAG0w/TtQRC7TY"),
-    ("symbols", ".... >>> *~*~* ===== *~*~* ===== %% *~*~* ===== ||| .... //--// $$ $$ //--// ===== $$ $$ ||| //--// %% ===== ===== ||| ### ### >>>"),
-    ("babble", "Tor balugof medan ruhen nam gavo raj dupeni kizabat, Lob hemijoja pod zujavob jad juvo tisami fusodih juzedo keho. Delago val pidubu mot vaf hor zejad pifevo zeb manabori has sovat."),
-    ("babble", "Nag mova guji gus kabi puko vade nipovapu? Vad musa ponikoke dila huk sade mora bepovi, Lokilar turopod gagosilo puhepapi bobihoj haf. Dorijam kek digos rahebod."),
-    ("keywords", "orchard online gate, gate cheap boat, boat top shed, north online bees, bees free shed, bees cheap boat, boat free boat, bees cheap bees, north free bees, shed free shed, shed cheap bees"),
-    ("damaged", "Ã©Â Ã¤Ã©&amp;&nbsp;ï»¿â€™Ã©\\u00â€™\\u00Â gate&nbsp;&nbsp;Â shedÃ¤ï»¿Â &amp;Ã©Ã©�\\u00&nbsp;â€™boatÂ Ã¤Ã©&amp;�&nbsp;ï»¿Ã©�&amp;Ã©"),
-    ("common", "of the was so in have but they what into some been we this not with for what because over in an be a their more the they and also i in to from were has for can"),
-    ("common", "und ist so wir hat ein nicht doch für durch es vor wird in da über von wenn zur sehr aus sein unter aber nun hatte nach wie sind dann das auch noch an im die"),
-    ("shuffled", "week we at. Beans read would and the of is evening that I much rained enough. in most how me, for it did the like expect What along. and it wall, planted was not I most for. read it how the evening in would. of we"),
-    ("shuffled", "die es mir. hat nicht Abend und ganze dass ich genug. den für Garten erwartet, so lese haben Woche und. das Wir ist mich gefällt geregnet, am umgegraben. nicht und ganze es. ich den so mir hat das"),
-    ("shuffled list", "- gate was their but shed\n- boat so our than orchard\n- bees an wall if so lantern\n- shed i beans into as loft\n- slate after boat just can gate"),
-    ("loop", "We planted beans along the wall, and that is enough. " * 8),
-    ("loop", "Wir haben den Garten umgegraben, und das ist genug.\n" * 8),
-]
-PROSE = ("prose", "foreign", "bare prose", "wrapped prose")
-CLASS_OF = {"list": "list", "shuffled list": "list", "table": "table"}
+    usual = frozenset(p for p, k in n.items() if k >= max(2, USUAL_PAIR * docs) and k * whole > left[p[0]] * right[p[1]])
+    return usual, sum(left[a] * right[b] for a, b in usual) / whole**2
+
+
+#: Inspected texts from which the examples come. Our own words, on everyday matters, in languages with and without common words.
+PROSE_TEXTS = {
+    "en": "My sister came to stay in March, and we spent most of the visit on the tram, riding it to the end of the line and back. She had never seen the river so high. I told her about the choir, which is still looking for a tenor, and about the kettle that whistles a minor third. When she left I was sad for a day or two. Then the tax letter came, and there was no time to be sad. I have been sleeping well. If you would like to write to me, I would be glad, but do not expect a quick answer, because I am slow at this and always have been.",
+    "de": "Meine Schwester war im März zu Besuch, und wir sind die meiste Zeit mit der Straßenbahn gefahren, bis zur letzten Haltestelle und wieder zurück. Sie hatte den Fluss noch nie so hoch gesehen. Ich habe ihr vom Chor erzählt, der immer noch einen Tenor sucht, und von dem Kessel, der in Moll pfeift. Als sie weg war, war ich ein paar Tage traurig. Dann kam der Brief vom Amt, und für Trauer war keine Zeit mehr. Ich schlafe wieder gut. Wenn du mir schreiben willst, freue ich mich, aber erwarte keine schnelle Antwort, denn darin bin ich langsam und war es schon immer.",
+    "fr": "Ma sœur est venue en mars, et nous avons passé presque tout son séjour dans le tram, jusqu'au terminus et retour. Elle n'avait jamais vu le fleuve aussi haut. Je lui ai parlé de la chorale, qui cherche encore un ténor, et de la bouilloire qui siffle en mineur. Quand elle est partie, j'ai été triste un jour ou deux. Puis la lettre des impôts est arrivée, et je n'avais plus le temps d'être triste. Je dors bien de nouveau. Si vous voulez m'écrire, j'en serai heureux, mais n'attendez pas une réponse rapide, car je suis lent et je l'ai toujours été.",
+    "es": "Mi hermana vino en marzo, y pasamos casi toda la visita en el tranvía, hasta el final de la línea y de vuelta. Nunca había visto el río tan alto. Le hablé del coro, que todavía busca un tenor, y de la tetera que silba en tono menor. Cuando se fue estuve triste un par de días. Luego llegó la carta de Hacienda, y ya no hubo tiempo para estar triste. Vuelvo a dormir bien. Si quieres escribirme, me alegro mucho, pero no esperes una respuesta rápida, porque soy lento para esto y siempre lo he sido.",
+    "nl": "Mijn zus kwam in maart logeren en we zaten bijna het hele bezoek in de tram, tot het eind van de lijn en weer terug. Ze had de rivier nog nooit zo hoog gezien. Ik vertelde haar over het koor, dat nog steeds een tenor zoekt, en over de ketel die in mineur fluit. Toen ze weg was, was ik een paar dagen verdrietig. Daarna kwam de brief van de belasting en was er geen tijd meer om verdrietig te zijn. Ik slaap weer goed. Als je me wilt schrijven vind ik dat fijn, maar verwacht geen snel antwoord, want daar ben ik traag in en dat was ik altijd al.",
+    "it": "Mia sorella è venuta a marzo e abbiamo passato quasi tutta la visita sul tram, fino al capolinea e ritorno. Non aveva mai visto il fiume così alto. Le ho parlato del coro, che cerca ancora un tenore, e del bollitore che fischia in minore. Quando è partita sono stato triste per un giorno o due. Poi è arrivata la lettera delle tasse e non c'era più tempo per essere triste. Dormo di nuovo bene. Se vuoi scrivermi mi fa piacere, ma non aspettarti una risposta veloce, perché sono lento in queste cose e lo sono sempre stato.",
+    "pl": "Moja siostra przyjechała w marcu i prawie cały pobyt spędziliśmy w tramwaju, do końca linii i z powrotem. Nigdy nie widziała rzeki tak wysokiej. Opowiedziałem jej o chórze, który wciąż szuka tenora, i o czajniku, który gwiżdże w tonacji molowej. Kiedy wyjechała, przez dzień czy dwa było mi smutno. Potem przyszedł list z urzędu i nie było już czasu na smutek. Znowu dobrze śpię. Jeśli chcesz do mnie napisać, będzie mi miło, ale nie oczekuj szybkiej odpowiedzi, bo jestem w tym powolny i zawsze byłem.",
+}
+#: Function words of four languages.
+FUNCTION_WORDS = {
+    "en": "of the was so in have but they what into some been we this not with for because over an be a their more and also i to from were has can",
+    "de": "und ist so wir hat ein nicht doch für durch es vor wird in da über von wenn zur sehr aus sein unter aber nun hatte nach wie sind dann das",
+    "fr": "de la et les des en un une que qui dans pour pas sur au avec ce il sont mais nous par plus ou son je se elle cette tout",
+    "es": "de la que el en y a los se del las un por con no una su para es al lo como más pero sus le ya este sí porque",
+}
+
+
+def _examples() -> list[tuple[str, str]]:
+    """(kind, text): texts as they are, and what rules make of them."""
+    rng = random.Random(1)
+    syllables = [c + v for c in "bdfgjklmnprstvz" for v in "aeiou"]
+    out = []
+    for lang, text in PROSE_TEXTS.items():
+        sentences = re.split(r"(?<=\.) ", text)
+        bare = re.sub(r"[.,]", "", text).lower()
+        out += [("prose", text), ("prose", text + "\n" + " ".join(sentences[::-1]) + "\n" + " ".join(sentences[2:] + sentences[:2])), ("prose", " ".join(sentences[2:5])), ("prose", sentences[1]), ("prose", sentences[0])]
+        out += [("prose", bare), ("prose", sentences[0] + " " + re.sub(r"[.,]", "", " ".join(sentences[1:5])).lower())]
+        out.append(("prose", "\n".join(textwrap.wrap(text, 52))))
+        words = text.split()
+        plain = [re.sub(r"[.,]", "", w) for w in words]
+        ends = [w[-1] if w[-1] in ".," else "" for w in words]
+        for _ in range(3):
+            rng.shuffle(plain)
+            out.append(("shuffled", " ".join(w + e for w, e in zip(plain, ends))))
+        out.append(("loop", (sentences[1] + " ") * 8))
+        out.append(("loop", (sentences[5] + "\n") * 9))
+        nouns = [w for w in plain if len(w) > 3][:18]
+        some = lambda k: rng.sample(nouns, k)
+        out.append(("list", "\n".join(f"- {' '.join(some(2)).lower()}" for _ in range(6))))
+        for mark in ("{}. ", "{}) ", "- "):
+            out.append(("list", "\n".join(f"{mark.format(i)}{some(1)[0].title()} {some(1)[0]} ({rng.randint(1950, 2024)})" for i in range(1, 7))))
+        out.append(("list", "\n".join(f"[{rng.choice('x ')}] {' '.join(some(3)).lower()}" for _ in range(5))))
+        out.append(("list", "\n".join(w.title() for w in some(12))))
+        out.append(("list", "\n".join(", ".join(some(3)) for _ in range(5))))
+        out.append(("list", "\n".join(f"• {some(1)[0].title()} – {some(1)[0].title()}" for _ in range(5))))
+        out.append(("list", "\n".join(f"({i}) {some(1)[0].title()}: {' '.join(some(4)).lower()}" for i in range(1, 5))))
+        out.append(("shuffled list", "\n".join(f"- {' '.join(rng.sample(plain, 5)).lower()}" for _ in range(5))))
+        day = lambda: f"20{rng.randint(10, 25)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"
+        number = lambda: f"{rng.randint(1, 999) / 10:.2f}"
+        out.append(("table", "| day | what | how |\n|---|---|---|\n" + "\n".join(f"| {day()} | {some(1)[0]} | {number()} |" for _ in range(4))))
+        out.append(("table", "\n".join(f"{day()};{some(1)[0]};{rng.randint(1, 90)};{number()};{rng.randint(1, 300)}" for _ in range(5))))
+        out.append(("table", "\n".join(f"{day()}\t{some(1)[0]}\t{rng.randint(1, 90)}\t{number()}" for _ in range(5))))
+        out.append(("table", "\n".join(f"{some(1)[0]:<14}{rng.randint(1, 90):>6}{number():>10}{number():>10}" for _ in range(5))))
+        out.append(("table", "\n".join(f"{some(1)[0]}: {rng.randint(1, 90)} / {rng.randint(1, 90)} / {number()} kg" for _ in range(5))))
+        out.append(("junk", "\n".join(f"{day()} {rng.randint(10, 23)}:{rng.randint(10, 59)} ERROR [{some(1)[0]}] id={rng.randint(1, 9999)} at 0x{rng.getrandbits(32):08x}" for _ in range(3))))
+        out.append(("junk", "\n".join(f'<p class="{some(1)[0]}-{rng.randint(1, 99)}"><i data="/{some(1)[0]}">{{{{ {some(1)[0]} }}}}</i></p>' for _ in range(3))))
+        out.append(("junk", " ".join(f"{rng.choice(['top', 'cheap', 'free', 'online'])} {a}, {a} {b}," for a, b in (some(2) for _ in range(9)))))
+        out.append(("junk", "".join(rng.choice(["Ã©", "Ã¤", "â€™", "&amp;", "&nbsp;", "�", "ï»¿", "Â ", "\\u00", some(1)[0]]) for _ in range(50))))
+        for least in (1, 2):
+            babble = ["".join(rng.choices(syllables, k=rng.randint(least, 4))) + rng.choice(["", "", "n", "r"]) for _ in range(72)]
+            out.append(("junk", " ".join(f"{' '.join(babble[i : i + 9]).capitalize()}{rng.choice('..?,')}" for i in range(0, 72, 9))))
+        out.append(("junk", " ".join(str(rng.getrandbits(rng.randint(3, 27))) for _ in range(25))))
+        out.append(("junk", "\n".join("".join(rng.choices(string.ascii_letters + string.digits + "+/", k=76)) for _ in range(2))))
+        out.append(("junk", " ".join(rng.choice(["....", ">>>", "*~*~*", "=====", "%%", "|||", "//--//", "$$", "###"]) for _ in range(30))))
+    for words in FUNCTION_WORDS.values():
+        for _ in range(2):
+            out.append(("shuffled", " ".join(rng.choices(words.split(), k=60)) + "."))
+    return out
+
+
+#: Inspected examples: (kind, text).
+EXAMPLES = _examples()
+CLASSES = ("prose", "list", "table", "junk")
+VOTES = (1.3, 1.1, 1.0, 0.9, 0.8)
+CLASS_OF = {"prose": 0, "list": 1, "shuffled list": 1, "table": 2}
 
 
 class Mixture:
-    """Means, variances and weights of the components, over standardised statistics, and their names."""
+    """Means, variances and weights of the components over standardised statistics, the class of each, and
+    the mean log-likelihood before each step of the fit, over all rows and (``begun``) over the sample."""
 
-    def __init__(self, centre, spread, means, variances, weights, names):
+    def __init__(self, centre, spread, means, variances, weights, classes=None, trace=()):
         self.centre, self.spread = centre, spread
-        self.means, self.variances, self.weights, self.names = means, variances, weights, names
-
-    def log_density(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.centre) / self.spread
-        z = np.clip(z, -8, 8)
-        q = ((z[:, None, :] - self.means[None]) ** 2 / self.variances[None]).sum(axis=2)
-        return np.log(self.weights)[None] - 0.5 * (q + np.log(self.variances).sum(axis=1)[None])
-
-    def responsibility(self, x: np.ndarray) -> np.ndarray:
-        d = self.log_density(x)
-        d = np.exp(d - d.max(axis=1, keepdims=True))
-        return d / d.sum(axis=1, keepdims=True)
+        self.means, self.variances, self.weights, self.classes, self.trace, self.begun = means, variances, weights, classes, list(trace), []
+
+    def plain(self) -> tuple:
+        return self.centre, self.spread, self.means, self.variances, self.weights, self.classes
+
+    def standardised(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.centre) / self.spread, -8, 8)
+
+    def log_density(self, z: np.ndarray) -> np.ndarray:
+        """Per row and component, weights left out."""
+        by = 1.0 / self.variances
+        own = (self.means**2 * by + np.log(self.variances)).sum(axis=1)
+        return -0.5 * ((z * z) @ by.T - 2.0 * z @ (self.means * by).T + own[None])
+
+    def expect(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(responsibilities, log-likelihoods) of the rows."""
+        d = self.log_density(z) + np.log(self.weights)[None]
+        top = d.max(axis=1, keepdims=True)
+        r = np.exp(d - top)
+        s = r.sum(axis=1, keepdims=True)
+        return r / s, (top + np.log(s))[:, 0]
+
+    def sums(self, z: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Per component its weight, weighted sum, sum of squares; and, in the first row, the log-likelihood."""
+        out = np.zeros((len(self.weights), 2 + 2 * D))
+        for lo in range(0, len(z), 4_096):
+            part = z[lo : lo + 4_096]
+            r, ll = self.expect(part)
+            r = r * w[lo : lo + 4_096, None]
+            out[:, 1:] += np.hstack([r.sum(axis=0)[:, None], r.T @ part, r.T @ (part * part)])
+            out[0, 0] += ll @ w[lo : lo + 4_096]
+        return out
+
+    def maximised(self, total: np.ndarray) -> Mixture:
+        n = np.maximum(total[:, 1:2], 1e-9)
+        means = total[:, 2 : 2 + D] / n
+        own = np.maximum(total[:, 2 + D :] / n - means**2, 0.0)
+        variances = np.maximum((n * own + PRIOR_WEIGHT * PRIOR) / (n + PRIOR_WEIGHT), FLOOR)
+        out = Mixture(self.centre, self.spread, means, variances, n[:, 0] / n.sum(), self.classes, [*self.trace, total[0, 0] / n.sum()])
+        out.begun = self.begun
+        return out
+
+
+def _rises(trace: list[float]) -> bool:
+    return len(trace) < 2 or trace[-1] - trace[-2] > TOLERANCE
+
+
+def _start(centre: np.ndarray, spread: np.ndarray, x: np.ndarray, w: np.ndarray) -> Mixture:
+    """The likeliest of several fits to a sample, each from components far apart."""
+    best: Mixture | None = None
+    for seed in range(STARTS):
+        rng = np.random.default_rng(seed)
+        m = Mixture(centre, spread, None, None, None)
+        z = m.standardised(x)
+        means = z[[rng.integers(len(z))]]
+        far = ((z - means) ** 2).sum(axis=1)
+        while len(means) < COMPONENTS and far.sum() > 0:
+            j = rng.choice(len(z), p=far / far.sum())
+            means = np.vstack([means, z[j]])
+            far = np.minimum(far, ((z - z[j]) ** 2).sum(axis=1))
+        m.means, m.variances, m.weights = means, np.full(means.shape, 0.5), np.full(len(means), 1 / len(means))
+        while _rises(m.trace) and len(m.trace) < MOST_STEPS:
+            m = m.maximised(m.sums(z, w))
+        if best is None or m.trace[-1] > best.trace[-1]:
+            best = m
+    best.begun, best.trace = best.trace, []
+    return best
+
+
+def example_statistics(common: frozenset[str], usual: frozenset[tuple[str, str]], chance: float, coherence: float) -> np.ndarray:
+    """STATISTICS of the examples. Which pairs of words are usual depends on the corpus and not on the few of
+    an example, so those in order have the corpus's mean coherence, and shuffled ones that of chance."""
+    out, at = np.array([statistics(t, common, usual) for _, t in EXAMPLES]), STATISTICS.index("coherence")
+    for i, (kind, _) in enumerate(EXAMPLES):
+        if kind in ("prose", "loop"):
+            out[i, at] = coherence
+        elif kind.startswith("shuffled"):
+            out[i, at] = chance
+    return out
 
 
 SEGMENTS = "doc_id bigint, chars bigint, x array<double>"
@@ -229,22 +344,12 @@ def _rows(b: pa.RecordBatch) -> np.ndarray:
     return np.asarray(b.column("x").flatten()).reshape(-1, D)
 
 
-def maximise(total: np.ndarray, start: np.ndarray, m: Mixture) -> Mixture:
-    """The maximisation step from the sums of an expectation step: weight, sum and sum of squares."""
-    n = total[:, :1]
-    pull = np.maximum(ANCHOR, n)
-    mean = (total[:, 1 : 1 + D] + pull * start) / (n + pull)
-    var = (total[:, 1 + D :] - 2 * mean * total[:, 1 : 1 + D] + n * mean**2 + ANCHOR * 0.5) / (n + ANCHOR)
-    weights = (n[:, 0] + ANCHOR) / (n.sum() + len(n) * ANCHOR)
-    return Mixture(m.centre, m.spread, mean, np.clip(var, FLOOR, CEILING), weights, m.names)
-
-
-def fit_mixture(segs: DataFrame, common: frozenset[str], usual: frozenset[tuple[str, str]], steps: int = EM_STEPS) -> Mixture:
+def fit_mixture(segs: DataFrame, common: frozenset[str], usual: frozenset[tuple[str, str]], chance: float) -> Mixture | None:
     """Expectation-maximisation over all segments, weighted by the logarithm of their characters.
 
-    A component per inspected example. Its mean is drawn to the example by as much weight as its own
-    segments have, ANCHOR at least, and its variances are bounded, so that a component keeps the
-    meaning it is named by, however few or many segments it has.
+    The starts run on about SAMPLE segments, drawn by hash; then every step takes all segments, until
+    the mean log-likelihood rises by no more than TOLERANCE. The examples take part as rows like any other,
+    so that small tables have components for kinds that they lack. None without segments.
     """
 
     def moments(batches):
@@ -260,43 +365,44 @@ def fit_mixture(segs: DataFrame, common: frozenset[str], usual: frozenset[tuple[
         if r["w"]:
             centre[r["k"]] = r["a"] / r["w"]
             spread[r["k"]] = math.sqrt(max(r["b"] / r["w"] - centre[r["k"]] ** 2, 1e-4))
-    names = [c for c, _ in EXAMPLES]
-    # the examples' own coherence is not known from few pairs: prose is coherent, what is shuffled is not
-    at = STATISTICS.index("coherence")
-    ex = np.array([statistics(t, common, usual) for _, t in EXAMPLES])
-    for i, (c, _) in enumerate(EXAMPLES):
-        if c in ("prose", "bare prose", "wrapped prose", "loop"):
-            ex[i, at] = 0.95
-        elif c in ("common", "shuffled", "shuffled list"):
-            ex[i, at] = 0.2
-    start = np.clip((ex - centre) / spread, -8, 8)
-    k = len(names)
-    m = Mixture(centre, spread, start.copy(), np.full((k, D), 0.6), np.full(k, 1.0 / k), names)
-    for _ in range(steps):
-        plain = (m.centre, m.spread, m.means, m.variances, m.weights)
+    drawn = segs.orderBy(F.xxhash64("doc_id", "chars", "x"), "doc_id").limit(SAMPLE).select("chars", "x").toArrow()  # bounded: SAMPLE
+    if not drawn.num_rows:
+        return None
+    shown = example_statistics(common, usual, chance, centre[STATISTICS.index("coherence")])
+    shown_w = np.log1p([float(len(t)) for _, t in EXAMPLES])
+    x = np.asarray(drawn["x"].combine_chunks().flatten()).reshape(-1, D)
+    m = _start(centre, spread, np.vstack([x, shown]), np.concatenate([np.log1p(np.asarray(drawn["chars"], dtype=float)), shown_w]))
+    z, k = m.standardised(shown), len(m.weights)
+    while _rises(m.trace):
+        if len(m.trace) == MOST_STEPS:
+            warnings.warn(f"the mixture still rises after {MOST_STEPS} steps: {m.trace[-2:]}", stacklevel=2)
+            break
+        plain = m.plain()
 
         def expect(batches, plain=plain):
-            mix = Mixture(*plain, None)
-            s = np.zeros((k, 1 + 2 * D))
+            mix, s = Mixture(*plain), np.zeros((k, 2 + 2 * D))
             for b in batches:
-                x, w = _rows(b), np.log1p(np.asarray(b.column("chars"), dtype=float))
-                for lo in range(0, len(x), 4_096):
-                    z = np.clip((x[lo : lo + 4_096] - mix.centre) / mix.spread, -8, 8)
-                    r = mix.responsibility(x[lo : lo + 4_096]) * w[lo : lo + 4_096, None]
-                    s += np.hstack([r.sum(axis=0)[:, None], r.T @ z, r.T @ (z * z)])
+                s += mix.sums(mix.standardised(_rows(b)), np.log1p(np.asarray(b.column("chars"), dtype=float)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(k), pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(k + 1) * (1 + 2 * D), pa.int32()), pa.array(s.ravel()))], names=["k", "s"]
+                [pa.array(range(k), pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(k + 1) * s.shape[1], pa.int32()), pa.array(s.ravel()))], names=["k", "s"]
             )
 
-        total = np.zeros((k, 1 + 2 * D))
-        sums = [F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(1 + 2 * D)]
+        total = m.sums(z, shown_w)
+        sums = [F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(total.shape[1])]
         for r in segs.mapInArrow(expect, "k int, s array<double>").groupBy("k").agg(*sums).collect():  # one row per component
-            total[r["k"]] = [r[f"s{i}"] for i in range(1 + 2 * D)]
-        n = total[:, :1]
-        m = maximise(total, start, m)
+            total[r["k"]] += [r[f"s{i}"] for i in range(total.shape[1])]
+        m = m.maximised(total)
+    m.classes = _named(m, z)
     return m
 
 
+def _named(m: Mixture, shown: np.ndarray) -> np.ndarray:
+    """The class of each component: that of most of the five examples likeliest under it, the likelier counting more."""
+    of = np.array([CLASS_OF.get(c, 3) for c, _ in EXAMPLES])
+    nearest = of[(-m.log_density(shown)).argsort(axis=0)[: len(VOTES)]]
+    return np.stack([(np.array(VOTES)[:, None] * (nearest == c)).sum(axis=0) for c in range(len(CLASSES))]).argmax(axis=0)
+
+
 def classified_documents(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """(doc_id, kind, prose_share): kind is prose, list, table or junk; prose_share the share of the
     text's characters in segments of prose.
@@ -307,24 +413,23 @@ def classified_documents(documents: DataFrame, common_words: DataFrame) -> DataF
     """
     common = frozenset(r["word"].lower() for r in common_words.select("word").where("word is not null").distinct().collect())
     docs = documents.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("text"))
-    usual = usual_pairs(docs, common)
+    usual, chance = usual_pairs(docs, common)
     segs = durable(segment_statistics(docs, common, usual))
-    m = fit_mixture(segs, common, usual)
-    plain = (m.centre, m.spread, m.means, m.variances, m.weights)
-    classes = ["prose", "list", "table", "junk"]
-    of = np.array([classes.index("prose" if c in PROSE else CLASS_OF.get(c, "junk")) for c in m.names])
+    m = fit_mixture(segs, common, usual, chance)
+    plain = m.plain() if m else None  # without segments no batch needs one
 
     def assign(batches):
-        mix = Mixture(*plain, None)
         for b in batches:
-            r = mix.responsibility(_rows(b)) if b.num_rows else np.zeros((0, len(of)))
-            share = np.stack([r[:, of == c].sum(axis=1) for c in range(4)], axis=1)
-            kind = share[:, 1:].argmax(axis=1) + 1
-            kind = np.where(share[:, 0] >= 0.5, 0, kind)
+            if not b.num_rows:
+                continue
+            mix = Mixture(*plain)
+            r, _ = mix.expect(mix.standardised(_rows(b)))
+            share = np.stack([r[:, mix.classes == c].sum(axis=1) for c in range(4)], axis=1)
+            kind = np.where(share[:, 0] >= 0.5, 0, share[:, 1:].argmax(axis=1) + 1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("chars"), pa.array(kind.astype(np.int32))], names=["doc_id", "chars", "kind"])
 
     per = segs.mapInArrow(assign, "doc_id bigint, chars bigint, kind int").groupBy("doc_id").agg(
-        F.sum("chars").alias("n"), *[F.sum(F.when(F.col("kind") == i, F.col("chars")).otherwise(0)).alias(c) for i, c in enumerate(classes)]
+        F.sum("chars").alias("n"), *[F.sum(F.when(F.col("kind") == i, F.col("chars")).otherwise(0)).alias(c) for i, c in enumerate(CLASSES)]
     )
     most = F.when(F.col("prose") * 2 >= F.col("n"), "prose").when((F.col("list") >= F.col("table")) & (F.col("list") >= F.col("junk")), "list").when(F.col("table") >= F.col("junk"), "table").otherwise("junk")
     return per.select("doc_id", most.alias("kind"), F.round(F.col("prose") / F.col("n"), 4).alias("prose_share"))

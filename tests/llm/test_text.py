@@ -1,6 +1,7 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from pageatlas.llm import boilerplate, pii, quality, terms
@@ -194,6 +195,25 @@ def test_kinds_of_documents(spark):
     assert quality.classified_documents(df.limit(0), common).count() == 0
 
 
+def test_mixture_is_fitted_by_expectation_maximisation(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5, quality.D)) * 3
+    x = np.vstack([c + rng.normal(size=(80, quality.D)) * 0.3 for c in centres])
+    segs = spark.createDataFrame([(i, 100, v.tolist()) for i, v in enumerate(x)], quality.SEGMENTS)
+    m = quality.fit_mixture(segs, frozenset(), frozenset(), 0.0)
+    assert m.begun[-1] > m.begun[0] + 1 and all(b > a - 1e-2 for a, b in zip(m.begun, m.begun[1:]))  # the likelihood rises
+    assert len(m.trace) >= 2 and m.trace[-1] - m.trace[-2] <= quality.TOLERANCE
+    r, _ = m.expect(m.standardised(x))
+    own = [set(r[k * 80 : k * 80 + 80].argmax(axis=1).tolist()) for k in range(5)]
+    assert all(a.isdisjoint(b) for i, a in enumerate(own) for b in own[:i])  # no component has rows of two groups
+    start = quality.Mixture(m.centre, m.spread, m.means + 1.0, m.variances, m.weights)
+    w = np.ones(len(x))
+    again = start.maximised(start.sums(start.standardised(x), w))
+    far = lambda q: np.abs((q.expect(q.standardised(x))[0].sum(axis=0)[:, None] * (q.means - m.means)).sum())
+    assert far(again) < far(start)  # means are free to move
+    assert quality.fit_mixture(segs.limit(0), frozenset(), frozenset(), 0.0) is None
+
+
 def test_statistics_of_documents(spark):
     common = spark.createDataFrame([("the",), ("The",)], "word string")
     df = spark.createDataFrame([(1, "The cat!\nno end"), (1, "The cat!\nno end"), (2, ""), (3, None), (4, "the " * 50_000)], "doc_id bigint, text string")
