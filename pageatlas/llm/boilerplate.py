@@ -1,13 +1,13 @@
 """Page text without the furniture of the site, by consensus host paths.
 
-A page's lines stand in containers (runs of lines between blank ones). Each line gets a generalised
-tag-class path: the zone of the page it stands in, the container's head, its own mark-up and its
-class; and each gets a score for how much it looks like furniture, which is fixed by its path and is
-the prior. What votes is what the pages of a host have in common: a line whose text stands on most
-distinct pages of its host counts as furniture whatever its score. A path most of whose lines on a
-host repeat so is furniture on that host, lines that do not repeat included. The pages are then
-extracted again with the texts and paths that won. Votes only add furniture: on hosts that many
-authors share, the frames of a single author repeat little, so rarity is no evidence of content.
+A page's lines stand in containers (runs of lines between blank ones). What a line says for itself is
+a score: word lists of four languages and its shape give a first guess, a text that is no sentence
+and recurs on several hosts, or that stands on most pages of its host, counts as furniture whatever
+the guess. A container is scored by its lines. Each line then gets a generalised tag-class path that
+knows nothing of words: the zone of the page, its mark-up, its links and shape, and how its container
+without it scores. Paths are voted on per host, with all hosts as a prior, and the pages are
+extracted again with the paths that won: the odds of a line's path on its host and those of its own
+score are multiplied, so that a clear vote overrides a wrong score, of either kind.
 """
 
 from __future__ import annotations
@@ -17,14 +17,17 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageatlas.functions.arrow import arrow_function
 from pageatlas.session import durable
 
-#: The score of a path counts as much as so many lines of the host.
+#: The vote of all hosts on a path counts as much as so many lines of one host.
 PRIOR_LINES = 8.0
+#: A text without sentence or heading that stands on such a share of all hosts, and on so many, is furniture with
+#: so much certainty; bounds of a line's own score and of a vote, as neither is ever certain.
+RECUR_SHARE, RECUR_HOSTS, RECUR_SCORE, OWN_BOUNDS, VOTE_BOUNDS = 0.003, 3, 0.8, 0.05, 0.01
 #: On how many distinct pages of a host, and on what share of them, a text is repeated furniture. Headings
 #: of sections are the author's own, so that they need to stand on nearly every page.
 REPEAT_PAGES, REPEAT_SHARE, REPEAT_SHARE_HEADING = 3, 0.5, 0.9
@@ -124,11 +127,13 @@ def line_class(text: str) -> str:
 
 
 class Line:
-    """One non-blank line: its number, mark-up, text without it, class and shape."""
+    """One non-blank line: its number, mark-up, text without it, class and shape. Without ``lists`` no word
+    of any language is known, and lines have no class."""
 
-    __slots__ = ("no", "tag", "text", "cls", "words", "ends", "linked", "bold", "block")
+    __slots__ = ("no", "tag", "text", "cls", "words", "ends", "linked", "bold", "block", "lists", "outward")
 
-    def __init__(self, no: int, raw: str, block: int):
+    def __init__(self, no: int, raw: str, block: int, lists: bool = True):
+        self.lists = lists
         h, bullet, number, quote, text = _MARK.match(raw).groups()
         self.no, self.block = no, block
         self.bold = len(text) > 4 and text.startswith("**") and text.endswith("**")
@@ -138,12 +143,13 @@ class Line:
         plain = plain.strip("*_ ") if self.bold or text[:1] == "_" == text[-1:] else plain
         self.text = plain
         self.tag = "h" if h else "li" if bullet else "ol" if number else "q" if quote else "b" if self.bold else "a" if self.linked else "p"
-        self.cls = line_class(text if len(links) > 1 else plain)
+        self.cls = line_class(text if len(links) > 1 else plain) if lists else ""
+        self.outward = self.linked and bool(_OWN_LINK.search(text))
         self.words = len(plain.split())
         self.ends = bool(_SENTENCE_END.search(plain)) or bool(_SPEAKS.search(plain) and self.cls == "")
         if not self.cls:
             own = len(links) == 1 and bool(_OWN_LINK.search(text))
-            if POST_TITLE.match(plain) and self.tag != "h" and not own:
+            if lists and POST_TITLE.match(plain) and self.tag != "h" and not own:
                 self.cls, self.ends = "post", False
             elif self.tag in "phb" and _SITE_NAME.match(plain) and not _SECTION_WORDS & set(plain.casefold().split()):
                 self.cls = "site"
@@ -153,7 +159,17 @@ class Line:
     @property
     def head(self) -> bool:
         """Whether it heads a list of other posts, archives or tags."""
-        return self.tag in "hbp" and self.text.casefold().strip(" :*") in LIST_HEADS
+        return self.lists and self.tag in "hbp" and self.text.casefold().strip(" :*") in LIST_HEADS
+
+    @property
+    def sentence(self) -> bool:
+        return self.ends and self.words >= 5
+
+    @property
+    def shape(self) -> str:
+        """What a path tells of a line beside its zone: mark-up, links, and length."""
+        link = "outward" if self.outward else "linked" if self.linked else "parted" if _SEPARATOR.search(self.text) else "plain"
+        return f"{self.tag}/{link}/{'sentence' if self.sentence else 'long' if self.words >= 12 else 'one' if self.words < 3 else 'short'}"
 
     @property
     def prose(self) -> bool:
@@ -162,10 +178,12 @@ class Line:
             return True
         if self.cls or self.head or self.linked:
             return False
+        if not self.lists:
+            return self.sentence
         return self.tag == "h" or (self.ends and self.words >= 3) or self.words >= 12
 
 
-def read_lines(text: str) -> list[Line]:
+def read_lines(text: str, lists: bool = True) -> list[Line]:
     out, block, blank = [], 0, True
     for no, raw in enumerate(text.split("\n")):
         if not raw.strip():
@@ -173,20 +191,20 @@ def read_lines(text: str) -> list[Line]:
             continue
         if blank:
             block, blank = block + 1, False
-        out.append(Line(no, raw, block))
+        out.append(Line(no, raw, block, lists))
     return out
 
 
-def line_paths(text: str | None) -> Iterator[tuple[int, str, float]]:
-    """(line number, generalised path, furniture score) of each non-blank line.
+def line_scores(text: str | None, lists: bool = True) -> Iterator[tuple[Line, str, float]]:
+    """(line, zone, furniture score) of each non-blank line.
 
-    zone: ``top`` before the page's first prose, ``end`` after its last, else ``mid``; head: whether
-    the line belongs to a list headed as other posts or archives; then tag, class and shape. Scores:
-    1 for what a class names, lower for what only its place and shape suggest, 0 for prose.
+    zone: ``top`` before the page's first prose, ``end`` after its last, else ``mid``. Scores: 1 for what
+    a class names, lower for lines listed under a head of other posts or archives and for what only
+    place and shape suggest, 0 for prose.
     """
     if not text:
         return
-    lines = read_lines(text)
+    lines = read_lines(text, lists)
     prose = [i for i, x in enumerate(lines) if x.prose]
     first, last = (prose[0], prose[-1]) if prose else (len(lines), -1)
     under, under_block = "", -1
@@ -200,45 +218,65 @@ def line_paths(text: str | None) -> Iterator[tuple[int, str, float]]:
             under = ""
         elif under and x.block != under_block and x.tag == "p" and not x.linked and not x.cls:
             under = ""
-        shape = "long" if x.words >= 12 else "ends" if x.ends else "short"
         if is_head:
-            kind, score = "head", 1.0
+            score = 1.0
         elif x.cls == "own":
-            kind, score = "own", 0.0
+            score = 0.0
         elif x.cls == "site":
-            kind, score = ("site", 1.0) if zone == "top" or i == 0 else ("name", 0.3)
-        elif x.cls:
-            kind = x.cls
-            # a class that a sentence may happen to begin with is less sure amid prose
-            score = 0.9 if x.cls in ("menu", "button") and x.tag == "h" and zone != "end" else 1.0
-            if x.cls == "menu" and x.tag == "h":
-                kind, score = "heading-menu", 0.0
+            score = 1.0 if zone == "top" or i == 0 else 0.3
+        elif x.cls == "menu" and x.tag == "h":
+            score = 0.0
+        elif x.cls:  # a class that a sentence may happen to begin with is less sure amid prose
+            score = 0.9 if x.cls == "button" and x.tag == "h" and zone != "end" else 1.0
         elif under:
-            kind, score = "listed", 0.9
+            score = 0.9
         elif x.tag == "h":
-            kind, score = "heading", 0.0
+            score = 0.0
         elif x.linked:
-            kind, score = "link", 0.8 if zone != "mid" or x.tag == "li" else 0.6
-        elif shape == "short":
-            kind, score = "title", 0.9 if zone != "mid" else 0.2
+            score = 0.8 if zone != "mid" or x.tag == "li" else 0.6
+        elif x.words < 12 and not x.ends:
+            score = 0.9 if zone != "mid" else 0.2
         else:
-            kind, score = shape, 0.0
-        yield x.no, f"{zone}/{under or '-'}/{x.tag}/{kind}", score
+            score = 0.0
+        yield x, zone, score
+
+
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+_DIGITS, _WORDS = re.compile(r"\d+"), re.compile(r"[^\W_]+")
 
 
-def _text_key(line: str) -> int:
-    """64 bits of a line's text, blanks at its ends dropped."""
-    return int.from_bytes(hashlib.blake2b(line.strip().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+def _general(text: str) -> str:
+    """A line's words without mark-up, numbers and marks."""
+    return " ".join(_WORDS.findall(_DIGITS.sub("0", text).casefold()))
 
 
-@arrow_function("array<struct<line_no:int,path:string,score:float,said:bigint>>")
-def paths_of(texts: pd.Series) -> pd.Series:
-    """Paths, scores and keys of the text of every non-blank line of a page."""
-    out = []
-    for t in texts:
-        raw = t.split("\n") if t else []
-        out.append([{"line_no": n, "path": p, "score": s, "said": _text_key(raw[n])} for n, p, s in line_paths(t)])
-    return pd.Series(out, dtype=object)
+_LINES = "array<struct<line_no:int,block:int,path:string,score:float,said:bigint,general:bigint,heading:boolean>>"
+
+
+def lines_of(text: Column, lists: bool = True) -> Column:
+    """Of every non-blank line of a page its container, path and score, and keys of its text: as it is
+    without blanks at its ends, and, unless it is a sentence or a heading, in general form."""
+
+    @arrow_function(_LINES)
+    def run(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            raw = t.split("\n") if t else []
+            out.append(
+                [
+                    {
+                        "line_no": x.no, "block": x.block, "path": f"{zone}/{x.shape}", "score": score, "said": _key(raw[x.no].strip()),
+                        "general": None if x.sentence or x.tag == "h" else _key(_general(x.text)), "heading": x.tag == "h",
+                    }
+                    for x, zone, score in line_scores(t, lists)
+                ]
+            )
+        return pd.Series(out, dtype=object)
+
+    return run(text)
 
 
 def host_of(url: Column) -> Column:
@@ -260,41 +298,60 @@ def repeated_texts(lines: DataFrame) -> DataFrame:
     return (
         lines.join(hosts, "host")
         .groupBy("host", "said")
-        .agg(distinct.alias("on"), F.max("pages").alias("pages"), F.max(F.col("path").contains("/h/")).alias("heading"))
+        .agg(distinct.alias("on"), F.max("pages").alias("pages"), F.max("heading").alias("heading"))
         .where((F.col("on") >= REPEAT_PAGES) & (F.col("on") >= share * F.col("pages")))
         .select("host", "said")
     )
 
 
-def furniture_lines(versions: DataFrame) -> DataFrame:
+def recurring_texts(lines: DataFrame) -> DataFrame:
+    """(general): general forms that stand on RECUR_SHARE of the hosts, RECUR_HOSTS at least."""
+    hosts = lines.where("host <> ''").agg((F.approx_count_distinct("host", 0.01) * RECUR_SHARE).alias("least"))
+    on = lines.where("general is not null and host <> ''").select("general", "host").distinct().groupBy("general").agg(F.count("*").alias("on"))
+    return on.crossJoin(F.broadcast(hosts)).where((F.col("on") >= RECUR_HOSTS) & (F.col("on") >= F.col("least"))).select("general")  # one row
+
+
+def furniture_lines(versions: DataFrame, lists: bool = True, vote: bool = True) -> DataFrame:
     """(version_id, line_no) of each line that is not the author's own content.
 
-    Paths form a small fixed grammar, so the votes over all hosts are a table of bounded size. Per
-    host they are aggregated map-side first; a host with a third of all pages is a few hundred rows a
-    task. Only where a host's verdict differs from that of all hosts does it have to meet the lines.
-    Exact duplicates count once. Null and blank texts have no lines; a text without prose is furniture
-    but for its headings.
+    Paths form a small fixed grammar, so the votes over all hosts are a table of bounded size; per
+    host they are aggregated map-side first, so a host with a third of all pages is a few hundred rows
+    a task. Exact duplicates count once. Null and blank texts have no lines; a text without prose is
+    furniture but for its headings. ``lists`` and ``vote`` leave out the word lists and the vote on
+    paths, to show what each does.
     """
     pages = versions.select("version_id", "url", "text_md").where(F.length("text_md") > 0).distinct()
     lines = durable(
-        pages.select("version_id", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), page_of(F.col("url")).alias("page"), F.xxhash64("text_md").alias("doc"), F.explode(paths_of("text_md")).alias("l"))
-        .select("version_id", "host", "page", "doc", "l.line_no", "l.path", "l.score", "l.said")
-    )
-    repeated = durable(repeated_texts(lines)).withColumn("repeats", F.lit(True))
-    marked = lines.join(repeated, ["host", "said"], "left").withColumn("repeats", F.coalesce("repeats", F.lit(False)))
-    evidence = F.when(F.col("repeats"), 1.0).otherwise(F.col("score"))
-    by_host = durable(marked.groupBy("host", "path").agg(F.sum(evidence).alias("s"), F.sum("score").alias("prior"), F.count("*").cast("double").alias("n")))
-    overall = by_host.groupBy("path").agg((F.sum("prior") / F.sum("n")).alias("mean"))
-    vote = (F.col("s") + PRIOR_LINES * F.col("mean")) / (F.col("n") + PRIOR_LINES)
-    verdicts = by_host.join(F.broadcast(overall), "path").select("host", "path", (vote >= 0.5).alias("here"), (F.col("mean") >= 0.5).alias("everywhere"))
-    others = verdicts.where(F.col("here") != F.col("everywhere")).select("host", "path", "here")
-    return (
-        marked.join(F.broadcast(overall.select("path", (F.col("mean") >= 0.5).alias("everywhere"))), "path")
-        .join(others, ["host", "path"], "left")
-        .where(F.col("repeats") | F.coalesce("here", "everywhere"))
-        .select("version_id", "line_no")
-        .distinct()
+        pages.select("version_id", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), page_of(F.col("url")).alias("page"), F.xxhash64("text_md").alias("doc"), F.explode(lines_of(F.col("text_md"), lists)).alias("l"))
+        .select("version_id", "host", "page", "doc", "l.*")
     )
+    repeated = repeated_texts(lines).withColumn("repeats", F.lit(True))
+    recurring = recurring_texts(lines).withColumn("recurs", F.lit(True))
+    marked = lines.join(repeated, ["host", "said"], "left").join(recurring, "general", "left")
+    own = F.when(F.col("repeats"), 1.0).when(F.col("recurs"), F.greatest(F.col("score").cast("double"), F.lit(RECUR_SCORE))).otherwise(F.col("score").cast("double"))
+    marked = marked.select("version_id", "doc", "host", "line_no", "block", "path", own.alias("own"), F.coalesce("repeats", F.lit(False)).alias("repeats"))
+    # how the container scores without the line; a lone line goes by its neighbours
+    page = Window.partitionBy("version_id", "doc").orderBy("line_no")
+    block = Window.partitionBy("version_id", "doc", "block")
+    others = F.count("*").over(block) - 1
+    around = (F.sum("own").over(block) - F.col("own")) / F.greatest(others, F.lit(1))
+    beside = [F.lag("own").over(page), F.lead("own").over(page)]
+    near = sum(F.coalesce(b, F.lit(0.0)) for b in beside) / F.greatest(F.lit(1), sum(b.isNotNull().cast("int") for b in beside))
+    seen = marked.select("*", others.alias("others"), around.alias("around"), near.alias("near"))
+    level = lambda c, hi, lo: F.when(c > hi, "2").when(c > lo, "1").otherwise("0")
+    container = F.when(F.col("others") > 0, F.concat(F.lit("c"), level(F.col("around"), 0.66, 0.2))).otherwise(F.concat(F.lit("n"), level(F.col("near"), 0.6, 0.4)))
+    scored = durable(seen.select("version_id", "host", "line_no", F.concat_ws("/", "path", container).alias("path"), "own", "repeats"))
+    odds = lambda p, least: F.log(F.greatest(F.least(p, F.lit(1 - least)), F.lit(least)) / (1 - F.greatest(F.least(p, F.lit(1 - least)), F.lit(least))))
+    if not vote:
+        return scored.where("own >= 0.5").select("version_id", "line_no").distinct()
+    by_host = durable(scored.groupBy("host", "path").agg(F.sum("own").alias("s"), F.count_if("repeats").alias("r"), F.count("*").cast("double").alias("n")))
+    overall = by_host.groupBy("path").agg((F.sum("s") / F.sum("n")).alias("mean"))
+    here = (F.col("s") + PRIOR_LINES * F.col("mean")) / (F.col("n") + PRIOR_LINES)
+    # a path most of whose lines repeat over the host's pages takes all its lines there along
+    repeats = F.col("r") / (F.col("n") + PRIOR_LINES) >= 0.5
+    votes = by_host.join(overall, "path").select("host", "path", odds(here, VOTE_BOUNDS).alias("vote"), repeats.alias("frame"))
+    won = F.col("repeats") | F.col("frame") | (odds(F.col("own"), OWN_BOUNDS) + F.col("vote") > 0)
+    return scored.join(votes, ["host", "path"]).where(won).select("version_id", "line_no").distinct()
 
 
 def main_text(versions: DataFrame) -> DataFrame:

@@ -169,9 +169,23 @@ def test_pages_of_a_host_decide(spark):
     rows = [(f"s{k}", f"https://site.example/{k}", page(k)) for k in range(12)]
     rows += [(f"v{k}", "https://once.example/now", page(k)) for k in range(12)]  # versions of one page repeat what is the author's
     rows += [(f"m{k}", f"https://mirror.example/{k}", page(0)) for k in range(12)]  # and so do mirrors
-    got = {(r["version_id"], r["line_no"]) for r in boilerplate.furniture_lines(spark.createDataFrame(rows, "version_id string, url string, text_md string")).collect()}
+    v = spark.createDataFrame(rows, "version_id string, url string, text_md string")
+    got, alone = ({(r["version_id"], r["line_no"]) for r in boilerplate.furniture_lines(v, vote=vote).collect()} for vote in (True, False))
     # the frame and the steps repeat; the third step does not, but its path is furniture on this host
     assert got == {(f"s{k}", n) for k in range(12) for n in (2, 6, 8, 10)}
+    assert alone == {(f"s{k}", n) for k in range(12) for n in (2, 6, 8)}  # by its own score it is a sentence of the author's
+
+
+def test_frame_in_a_language_without_lists(spark):
+    # Finnish: no word of it is in any list; of the frame's parts some recur on other hosts, some on none
+    frame = ["Etusivu", "Päiväkirja", "Kuvat", "Vieraskirja", "Yhteys"]
+    own = "Istutin tänään {0} omenapuuta pihan reunaan ja söin illalla keittoa."
+    page = lambda h, k: "\n".join([*frame, f"Sivu {chr(97 + k)}{h}", "", own.format(k + 3), "", own.format(k + 50), "", *frame[::-1], f"Kone {chr(97 + k)}{h}"])
+    rows = [(f"p{h:02d}{k}", f"https://h{h}.example/{k}", page(h, k)) for h in range(30) for k in range(2)]
+    v = spark.createDataFrame(rows, "version_id string, url string, text_md string")
+    got = {(r["version_id"], r["line_no"]) for r in boilerplate.furniture_lines(v).collect()}
+    want = {(i, n) for i, _, t in rows for n, x in enumerate(t.split("\n")) if x and not x.startswith("Istutin")}
+    assert got == want
 
 
 # --- quality -----------------------------------------------------------------------------------------
