@@ -130,7 +130,7 @@ class Line:
     """One non-blank line: its number, mark-up, text without it, class and shape. Without ``lists`` no word
     of any language is known, and lines have no class."""
 
-    __slots__ = ("no", "tag", "text", "cls", "words", "ends", "linked", "bold", "block", "lists", "outward")
+    __slots__ = ("no", "tag", "text", "cls", "words", "ends", "linked", "bold", "block", "lists", "outward", "head", "sentence", "prose", "shape", "said", "general")
 
     def __init__(self, no: int, raw: str, block: int, lists: bool = True):
         self.lists = lists
@@ -145,6 +145,8 @@ class Line:
         self.tag = "h" if h else "li" if bullet else "ol" if number else "q" if quote else "b" if self.bold else "a" if self.linked else "p"
         self.cls = line_class(text if len(links) > 1 else plain) if lists else ""
         self.outward = self.linked and bool(_OWN_LINK.search(text))
+        # whether it heads a list of other posts, archives or tags
+        self.head = lists and self.tag in "hbp" and plain.casefold().strip(" :*") in LIST_HEADS
         self.words = len(plain.split())
         self.ends = bool(_SENTENCE_END.search(plain)) or bool(_SPEAKS.search(plain) and self.cls == "")
         if not self.cls:
@@ -156,23 +158,15 @@ class Line:
             elif own or (self.bold and not self.head) or (self.tag in ("li", "ol") and plain[:1].islower()):
                 self.cls = "own"
 
-    @property
-    def head(self) -> bool:
-        """Whether it heads a list of other posts, archives or tags."""
-        return self.lists and self.tag in "hbp" and self.text.casefold().strip(" :*") in LIST_HEADS
+        self.sentence = self.ends and self.words >= 5
+        self.prose = self._is_prose()
+        # what a path tells of a line beside its zone: mark-up, links, and length
+        link = "outward" if self.outward else "linked" if self.linked else "parted" if _SEPARATOR.search(plain) else "plain"
+        self.shape = f"{self.tag}/{link}/{'sentence' if self.sentence else 'long' if self.words >= 12 else 'one' if self.words < 3 else 'short'}"
+        self.said = _key(raw.strip())
+        self.general = None if self.sentence or self.tag == "h" else _key(_general(plain))
 
-    @property
-    def sentence(self) -> bool:
-        return self.ends and self.words >= 5
-
-    @property
-    def shape(self) -> str:
-        """What a path tells of a line beside its zone: mark-up, links, and length."""
-        link = "outward" if self.outward else "linked" if self.linked else "parted" if _SEPARATOR.search(self.text) else "plain"
-        return f"{self.tag}/{link}/{'sentence' if self.sentence else 'long' if self.words >= 12 else 'one' if self.words < 3 else 'short'}"
-
-    @property
-    def prose(self) -> bool:
+    def _is_prose(self) -> bool:
         """Whether it reads as the author's: a sentence, or a heading that names no furniture."""
         if self.cls == "own":
             return True
@@ -182,8 +176,33 @@ class Line:
             return self.sentence
         return self.tag == "h" or (self.ends and self.words >= 3) or self.words >= 12
 
+    def at(self, no: int, block: int) -> Line:
+        """The same line in another place."""
+        x = Line.__new__(Line)
+        for name in Line.__slots__:
+            setattr(x, name, getattr(self, name))
+        x.no, x.block = no, block
+        return x
+
+
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+_DIGITS, _WORDS = re.compile(r"\d+"), re.compile(r"[^\W_]+")
+
+
+def _general(text: str) -> str:
+    """A line's words without mark-up, numbers and marks."""
+    return " ".join(_WORDS.findall(_DIGITS.sub("0", text).casefold()))
+
 
-def read_lines(text: str, lists: bool = True) -> list[Line]:
+#: Lines kept to be read once where they occur again; one task's, and no more than these.
+KNOWN_LINES = 50_000
+
+
+def read_lines(text: str, lists: bool = True, known: dict[str, Line] | None = None) -> list[Line]:
+    known = {} if known is None else known
     out, block, blank = [], 0, True
     for no, raw in enumerate(text.split("\n")):
         if not raw.strip():
@@ -191,11 +210,18 @@ def read_lines(text: str, lists: bool = True) -> list[Line]:
             continue
         if blank:
             block, blank = block + 1, False
-        out.append(Line(no, raw, block, lists))
+        x = known.get(raw)
+        if x is None:
+            x = Line(no, raw, block, lists)
+            if len(known) < KNOWN_LINES:
+                known[raw] = x
+            out.append(x)
+        else:
+            out.append(x.at(no, block))
     return out
 
 
-def line_scores(text: str | None, lists: bool = True) -> Iterator[tuple[Line, str, float]]:
+def line_scores(text: str | None, lists: bool = True, known: dict[str, Line] | None = None) -> Iterator[tuple[Line, str, float]]:
     """(line, zone, furniture score) of each non-blank line.
 
     zone: ``top`` before the page's first prose, ``end`` after its last, else ``mid``. Scores: 1 for what
@@ -204,7 +230,7 @@ def line_scores(text: str | None, lists: bool = True) -> Iterator[tuple[Line, st
     """
     if not text:
         return
-    lines = read_lines(text, lists)
+    lines = read_lines(text, lists, known)
     prose = [i for i, x in enumerate(lines) if x.prose]
     first, last = (prose[0], prose[-1]) if prose else (len(lines), -1)
     under, under_block = "", -1
@@ -241,18 +267,6 @@ def line_scores(text: str | None, lists: bool = True) -> Iterator[tuple[Line, st
         yield x, zone, score
 
 
-def _key(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
-
-
-_DIGITS, _WORDS = re.compile(r"\d+"), re.compile(r"[^\W_]+")
-
-
-def _general(text: str) -> str:
-    """A line's words without mark-up, numbers and marks."""
-    return " ".join(_WORDS.findall(_DIGITS.sub("0", text).casefold()))
-
-
 _LINES = "array<struct<line_no:int,block:int,path:string,score:float,said:bigint,general:bigint,heading:boolean>>"
 
 
@@ -262,18 +276,14 @@ def lines_of(text: Column, lists: bool = True) -> Column:
 
     @arrow_function(_LINES)
     def run(texts: pd.Series) -> pd.Series:
-        out = []
+        out, known = [], {}
         for t in texts:
-            raw = t.split("\n") if t else []
             out.append(
                 [
-                    {
-                        "line_no": x.no, "block": x.block, "path": f"{zone}/{x.shape}", "score": score, "said": _key(raw[x.no].strip()),
-                        "general": None if x.sentence or x.tag == "h" else _key(_general(x.text)), "heading": x.tag == "h",
-                    }
-                    for x, zone, score in line_scores(t, lists)
+                    {"line_no": x.no, "block": x.block, "path": f"{zone}/{x.shape}", "score": score, "said": x.said, "general": x.general, "heading": x.tag == "h"}
+                    for x, zone, score in line_scores(t, lists, known)
                 ]
-            )
+            )
         return pd.Series(out, dtype=object)
 
     return run(text)
