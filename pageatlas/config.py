@@ -1,4 +1,4 @@
-"""Design constants of the stages, in one strict, frozen structure."""
+"""Design constants of the stages, in one strict, frozen structure. The names and defaults are fixed values."""
 
 from __future__ import annotations
 

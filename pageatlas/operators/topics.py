@@ -174,7 +174,7 @@ def topic_pages(weights: DataFrame) -> DataFrame:
     return weights.where("weight > 0").groupBy("topic").agg(F.count_distinct("version_id").alias("pages"))
 
 
-def export_points(pages: DataFrame, weights: DataFrame, snips: DataFrame, quotes: DataFrame, people: DataFrame) -> DataFrame:
+def export_points(pages: DataFrame, weights: DataFrame, snips: DataFrame, quotes: DataFrame, people: DataFrame, excerpt_chars: int = 280) -> DataFrame:
     """One row per page with its owner, excerpt and topics as JSON, heaviest first."""
     now = people.where(F.coalesce("valid_to", F.lit("")) == "").groupBy("url").agg(F.max(F.struct(F.coalesce("valid_from", F.lit("")).alias("f"), "name", "city", "country")).alias("p"))
     t = weights.join(snips, ["version_id", "topic"], "left").withColumn("w", F.bround("weight", 3))
@@ -184,7 +184,7 @@ def export_points(pages: DataFrame, weights: DataFrame, snips: DataFrame, quotes
         pages.join(topics, "version_id", "left").join(quotes, "version_id", "left").join(now, "url", "left")
         .select(
             F.col("version_id").alias("id"), "url", "p.name", "p.city", "p.country", F.col("last_seen").alias("captured_at"),
-            F.coalesce("quote", excerpt(F.col("text_md"))).alias("excerpt"), F.coalesce(F.to_json(listed), F.lit("[]")).alias("topics"),
+            F.coalesce("quote", excerpt(F.col("text_md"), excerpt_chars)).alias("excerpt"), F.coalesce(F.to_json(listed), F.lit("[]")).alias("topics"),
         )
     )
 

@@ -67,5 +67,5 @@ class PoliteFetcher:
         h = {k.lower(): v for k, v in got.get("headers", {}).items()}
         return {
             "status": got["status"], "body": got.get("body"), "final_url": got.get("url", base), "content_type": h.get("content-type"),
-            "etag": h.get("etag"), "last_modified": h.get("last-modified"), "robots_tag": h.get("x-robots-tag"),
+            "etag": h.get("etag"), "last_modified": h.get("last-modified"), "robots_tag": h.get("x-robots-tag"), "headers": h,
         }

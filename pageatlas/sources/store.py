@@ -83,10 +83,14 @@ class Store:
         """Add a part to an append-only table; a part of the same name is replaced."""
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/part={part}")
 
-    def read_parts(self, name: str, schema: str) -> DataFrame:
-        """All parts by column name, cast to the declared schema; what a part lacks is null."""
+    def parts(self, name: str) -> list[str]:
+        """The parts of an append-only table that are written to the end."""
+        return sorted({k.split("/part=")[1].split("/")[0] for k in self.list(name) if "/part=" in k and k.endswith("/_SUCCESS")})
+
+    def read_parts(self, name: str, schema: str, only: list[str] | None = None) -> DataFrame:
+        """All parts, or some, by column name, cast to the declared schema; what a part lacks is null."""
         empty = self.spark.createDataFrame([], schema)
-        parts = sorted({k.split("/part=")[1].split("/")[0] for k in self.list(name) if "/part=" in k})
+        parts = [p for p in self.parts(name) if only is None or p in set(only)]
         if not parts:
             return empty
         try:  # one scan where the parts agree with the schema

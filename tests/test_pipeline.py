@@ -201,9 +201,107 @@ def test_engine_end_to_end(spark, tmp_path):
     e.export(points, str(tmp_path / "export"))
     got = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "export")).collect()]
     assert len(got) == 7 and got[0]["excerpt"] == "word word"
+    assert e.read_export("map.json") is None
+    e.export_document(report, points, "map.json")
+    whole = json.loads(e.store.read_text([k for k in e.store.list("map.json") if k.endswith(".txt")][0]))
+    assert whole["run_id"] == report["run_id"] and len(whole["points"]) == 7 and [t["id"] for t in whole["topics"]] == [0, 1] and all(t["label"] and t["pages"] > 1 for t in whole["topics"])
+    seen_topics, seen = e.read_export("map.json")
+    assert seen_topics == report["topics"] and {r["id"] for r in seen.collect()} == {p["id"] for p in whole["points"]}
+    assert seen.where("size(topics) > 0 and topics[0].weight = 1.0").count() == 7
+    e.export_document(report, points.limit(0), "none.json")
+    assert e.read_export("none.json") is None
     assert e._table("layouts").count() == 7
 
 
+def test_bodies_are_bytes_and_keep_their_headers(spark, tmp_path):
+    from pageatlas.engine import Engine
+
+    e = Engine(spark, str(tmp_path))
+    listing = "A\tRome\t\tX\t\t\t\thttps://a.example/\nB\tUlm\t\tX\t\t\t\thttps://b.example/"
+    with pytest.raises(ConnectionError):
+        e.fetch_directory(lambda *a: {"status": 404}, "https://list.example", "2026-01-01")
+    assert e.fetch_directory(lambda *a: {"status": 200, "body": listing.encode("utf-16"), "content_type": "text/plain; charset=utf-16"}, "https://list.example", "2026-01-01")["rows"] == 2
+    latin = ("<p>" + "café à la crème " * 30 + "</p>").encode("latin-1")
+
+    def fetcher(base, etag, modified):
+        if "b." in base:
+            return {"status": 200, "content_type": "text/html", "body": b"<meta name='robots' content='NOARCHIVE'>\xff"}
+        return {"status": 200, "content_type": "text/html; charset=latin-1", "body": latin, "headers": {"Date": "today", "Set-Cookie": "no", "ETag": "t"}}
+
+    r = e.crawl(fetcher)
+    assert (r["ok"], r["errors"]) == (1, {"noarchive": 1})
+    raw = e.store.read_parts("raw", "raw_object_key string, body binary, final_url string, status bigint, headers map<string,string>").collect()
+    import hashlib
+
+    assert [(bytes(x["body"]), x["status"], x["headers"]) for x in raw] == [(latin, 200, {"content-type": "text/html; charset=latin-1", "date": "today", "etag": "t"})]
+    logged = e.store.read_parts("fetches", "url string, content_hash string, bytes bigint").where("content_hash is not null").first()
+    assert logged["content_hash"] == hashlib.sha256(latin).hexdigest() and logged["bytes"] == len(latin)
+    assert e.extract()["new_versions"] == 1 and e._table("versions").first()["text_md"].startswith("café à la crème")
+
+
+def _versions(spark, n):
+    rows = [(f"v{i}", f"https://h{i}.example", "t1", f"page {i} says that", False) for i in range(n)]
+    v = spark.createDataFrame(rows, "version_id string, url string, last_seen string, text_md string, needs_js boolean")
+    from pageatlas.schemas import SCHEMAS
+
+    return v.select([F.col(c.split()[0]) if c.split()[0] in v.columns else F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in SCHEMAS["versions"].split(", ")])
+
+
+def _answering():
+    def answer(text):  # inside, so that it travels to the workers with its code
+        f = {"domain": "work", "summary": text, "tags": [], "status": "ongoing", "sensitive": False}
+        return json.dumps({"language": "en", "richness": 1, "stated_location": "", "focuses": [f], "life_transitions": [], "values": [], "tone": "", "quotes": []})
+
+    return answer
+
+
+def test_an_interrupted_enrichment_keeps_what_it_wrote(spark, tmp_path, monkeypatch):
+    from pageatlas.engine import Engine
+
+    answer = _answering()
+    e = Engine(spark, str(tmp_path), Tuning.from_dict({"enrich": {"concurrency": 2, "checkpoint_every": 2}}))
+    e.store.write_table("versions", _versions(spark, 10))
+    write, calls = e.store.append, []
+
+    def append(name, df, part):
+        calls.append(name)
+        if calls.count("extractions") == 2 and name == "extractions":
+            raise KeyboardInterrupt
+        write(name, df, part)
+
+    monkeypatch.setattr(e.store, "append", append)
+    with pytest.raises(KeyboardInterrupt):
+        e.enrich(answer)
+    monkeypatch.undo()
+    assert e._table("extractions").count() == 4 and e._table("focuses").count() == 4  # the second batch is half written and not seen
+    assert e.enrich(answer) == {"candidates": 6, "enriched": 6, "failed": 0, "focuses": 6}
+    assert {r["focus_id"] for r in e._table("focuses").collect()} == {f"v{i}:0" for i in range(10)} and e._table("focuses").count() == 10
+    assert e.enrich(answer) == {"candidates": 10, "enriched": 0, "failed": 0, "focuses": 0}
+
+
+def test_schema_and_prompt_follow_the_configuration():
+    from pageatlas.operators import enrich
+
+    cfg = Tuning.from_dict({"enrich": {"domains": ["kites", "other"], "statuses": ["new"], "max_focuses": 3, "summary_words": 17, "sensitive_topics": ["debts"]}}).enrich
+    schema = enrich.enrichment_schema(cfg)
+    focus = schema["properties"]["focuses"]["items"]
+    assert focus["properties"]["domain"]["enum"] == ["kites", "other"] and focus["properties"]["status"]["enum"] == ["new"]
+    assert schema["properties"]["life_transitions"]["items"]["enum"] == list(cfg.life_transitions)
+    assert not schema["additionalProperties"] and not focus["additionalProperties"] and set(schema["required"]) == set(schema["properties"])
+    prompt = enrich.system_prompt(cfg)
+    assert all(w in prompt for w in ("kites", "at most 3", "17 words", "debts", "do not do it"))
+    seen = []
+    assert enrich.prompted(lambda *a: seen.append(a) or "{}", cfg)("hello") == "{}"
+    assert seen == [(prompt, schema, "<page>\nhello\n</page>")]
+
+
+def test_version_command(capsys):
+    from pageatlas import __version__
+    from pageatlas.__main__ import main
+
+    assert main(["--verbose", "version"]) == 0 and capsys.readouterr().out.strip() == __version__
+
+
 def test_streaming_versions(spark, tmp_path):
     from pageatlas.streaming.versions import stream_versions
 
