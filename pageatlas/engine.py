@@ -227,7 +227,7 @@ class Engine:
         foc = foc.join(labels.withColumnRenamed("id", "focus_id"), "focus_id").withColumnRenamed("label", "topic")
         into = topics.merge_similar(topics.centroids(foc), cfg.merge_cosine)
         merged = self.spark.createDataFrame(sorted(into.items()) or [(-2, -2)], "topic int, into int")
-        foc = foc.join(F.broadcast(merged), "topic", "left").withColumn("topic", F.coalesce("into", "topic")).drop("into")  # a row per topic
+        foc = foc.join(merged, "topic", "left").withColumn("topic", F.coalesce("into", "topic")).drop("into")
         foc = durable(topics.prune_small(foc, cfg.min_topic_pages))
         from pageatlas.functions.page import focus_text
 
@@ -249,7 +249,7 @@ class Engine:
         run_id = new_run_id()
         at = layout.positions(topics.page_vectors(foc))
         labels_df = self.spark.createDataFrame([(k, v) for k, v in sorted(names.items())] or [(-2, "")], "cluster_id int, cluster_label string")
-        rows = topics.primary_topics(weights, pages).join(at, "version_id").join(F.broadcast(labels_df), "cluster_id", "left")  # a row per topic
+        rows = topics.primary_topics(weights, pages).join(at, "version_id").join(labels_df, "cluster_id", "left")
         self.store.write_table("layouts", rows.select(F.lit(run_id).alias("run_id"), F.col("version_id").alias("id"), "x", "y", F.col("cluster_id").cast("bigint"), "cluster_label"))
         points = topics.export_points(pages, weights, topics.snippets(foc, cents), topics.first_quotes(self._table("extractions")), self._people(), cfg.excerpt_chars).join(at.withColumnRenamed("version_id", "id"), "id")
         n = pages.count()

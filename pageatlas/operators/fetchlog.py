@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageatlas.functions.url import base_url, host
 
+#: Errors that are no failures, and the mark-up that forbids keeping a page.
 SKIPPED = ["robots", "noarchive", "denylist"]
 NOARCHIVE = r"""(?i)<meta[^>]+name=["'](?:robots|googlebot)["'][^>]*content=["'][^"']*noarchive"""
 
@@ -90,25 +91,45 @@ def error_reasons(fetches: DataFrame) -> DataFrame:
     return e.groupBy("run_id", F.when(F.col("error").isin(SKIPPED), "skip").otherwise("fail").alias("kind"), "error").agg(F.count("*").alias("n"))
 
 
-def version_islands(fetches: DataFrame) -> DataFrame:
-    """(url, content_hash, first_seen, last_seen, fetches): versions if every new hash is a new text.
+def runs(u: DataFrame, order: list[str], identity: Column) -> DataFrame:
+    """``u`` with ``start``, the place in ``order`` of the fetch that opened its run, and ``opens``.
 
-    A version opens with the url's first usable fetch and wherever a later non-304 fetch has another
-    hash than the one before it in that series; a 304 extends what is open. Rows of one url stand in
-    one window; they are the log's columns only, never texts.
+    A run opens with the url's first fetch and wherever a later one that is no 304 has another identity
+    than the one before it in that series. Fetches of a url stand in chunks of a day: each chunk is looked
+    at on its own, and what passes from one to the next is a row per url and day, so that a url with a
+    third of the log is spread over its days.
     """
-    order = Window.partitionBy("url").orderBy("fetched_at", "run_id")
+    at = F.struct(*order)
+    u = u.withColumn("_id", identity).withColumn("_day", F.substring("fetched_at", 1, 10))
+    inside = Window.partitionBy("url", "_day").orderBy(*order)
+    days = Window.partitionBy("url").orderBy("_day")
+    earlier = days.rowsBetween(Window.unboundedPreceding, -1)
+    full = F.col("status") != 304
+    u = u.withColumn("_rn", F.row_number().over(inside))
+    chunks = u.groupBy("url", "_day").agg(F.max_by("_id", F.when(full, at)).alias("last"), F.min_by("_id", at).alias("head"))
+    chunks = chunks.withColumn("_begins", F.row_number().over(days) == 1).withColumn("last", F.coalesce("last", F.when(F.col("_begins"), F.col("head"))))
+    chunks = chunks.select("url", "_day", "_begins", F.last("last", ignorenulls=True).over(earlier).alias("_carried"))
+    rows = u.join(chunks, ["url", "_day"])
+    first = F.col("_begins") & (F.col("_rn") == 1)
+    rows = rows.withColumn("_own", F.when(full | first, F.col("_id")))
+    before = F.coalesce(F.last("_own", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carried"))
+    rows = rows.withColumn("opens", F.col("_own").isNotNull() & (first | (F.col("_own") != before)))
+    rows = rows.withColumn("start", F.last(F.when(F.col("opens"), at), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = rows.groupBy("url", "_day").agg(F.max(F.when(F.col("opens"), at)).alias("last"))
+    ends = ends.select("url", "_day", F.last("last", ignorenulls=True).over(earlier).alias("_start"))
+    rows = rows.join(ends, ["url", "_day"]).withColumn("start", F.coalesce("start", "_start"))
+    return rows.drop("_id", "_day", "_rn", "_begins", "_carried", "_own", "_start")
+
+
+def version_islands(fetches: DataFrame) -> DataFrame:
+    """(url, content_hash, first_seen, last_seen, fetches): versions if every new hash is a new text, which
+    are the runs of fetches."""
     u = usable(fetches).select("url", "fetched_at", "run_id", "status", "content_hash").distinct()
-    u = u.withColumn("rn", F.row_number().over(order))
-    carried = F.when((F.col("status") != 304) | (F.col("rn") == 1), F.col("content_hash"))
-    u = u.withColumn("own", carried)
-    before = F.last("own", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    u = u.withColumn("opens", F.col("own").isNotNull() & ((F.col("rn") == 1) | (F.col("own") != before)))
-    u = u.withColumn("island", F.count_if("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return u.groupBy("url", "island").agg(
+    u = runs(u, ["fetched_at", "run_id"], F.col("content_hash"))
+    return u.groupBy("url", "start").agg(
         F.min_by("content_hash", F.struct("fetched_at", "run_id")).alias("content_hash"), F.min("fetched_at").alias("first_seen"),
         F.max("fetched_at").alias("last_seen"), F.count("*").alias("fetches"),
-    ).drop("island")
+    ).drop("start")
 
 
 def missing_raw(wanted: DataFrame, stored: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageatlas.functions.page import excerpt, tokens
 from pageatlas.functions.vector import cosine, dot, doubles, norm, normalized
+from pageatlas.session import durable
 
 
 def vector_sums(rows: DataFrame, key: str) -> DataFrame:
@@ -93,7 +94,7 @@ def page_topic_weights(focuses: DataFrame) -> DataFrame:
 def snippets(focuses: DataFrame, cents: DataFrame) -> DataFrame:
     """(version_id, topic, snippet): the summary nearest to the centroid; ties by focus_id."""
     sim = dot(doubles(F.col("vector")), F.col("c")) / F.greatest(norm(F.col("c")), F.lit(1e-9))
-    near = focuses.where("topic >= 0").join(F.broadcast(cents.select("topic", "c")), "topic").withColumn("far", -sim)  # few topics
+    near = focuses.where("topic >= 0").join(cents.select("topic", "c"), "topic").withColumn("far", -sim)
     return near.groupBy("version_id", "topic").agg(F.min_by("summary", F.struct("far", "focus_id")).alias("snippet"))
 
 
@@ -105,7 +106,7 @@ def primary_topics(weights: DataFrame, pages: DataFrame) -> DataFrame:
 
 def topic_samples(focuses: DataFrame, cents: DataFrame, size: int = 10) -> DataFrame:
     """(topic, rank, focus_id): the ``size`` focuses with the greatest dot product with the centroid."""
-    scored = focuses.where("topic >= 0").join(F.broadcast(cents.select("topic", "c")), "topic").withColumn("score", dot(doubles(F.col("vector")), F.col("c")))
+    scored = focuses.where("topic >= 0").join(cents.select("topic", "c"), "topic").withColumn("score", dot(doubles(F.col("vector")), F.col("c")))
     w = Window.partitionBy("topic").orderBy(F.desc("score"), "focus_id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= size).select("topic", "rank", "focus_id")
 
@@ -144,23 +145,28 @@ def label_scores(passages: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def pick_labels(scores: DataFrame, topics: list[int], terms: int = 3, candidates: int = 200) -> dict[int, str]:
     """Topic -> label: its best terms, topics in order, no word twice in any label; ``theme n`` if none is left.
 
-    The best ``candidates`` terms of each topic come to the driver; of equal scores the later term first.
+    The best ``candidates`` terms of each topic come to the driver; where a topic finds too few among them,
+    more do, until it has its terms or there are no more. Of equal scores the later term comes first.
     """
     w = Window.partitionBy("topic").orderBy(F.desc("score"), F.desc("term"))
-    rows = scores.where("score > 0").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= candidates).orderBy("topic", "rn").collect()
-    by_topic: dict[int, list[str]] = {}
-    for r in rows:
-        by_topic.setdefault(r["topic"], []).append(r["term"])
-    used: set[str] = set()
-    out = {}
-    for t in sorted(topics):
-        picked: list[str] = []
-        for term in by_topic.get(t, []):
-            if len(picked) < terms and not used & set(term.split()):
-                picked.append(term)
-                used |= set(term.split())
-        out[t] = ", ".join(picked) or f"theme {t}"
-    return out
+    ranked = durable(scores.where("score > 0").withColumn("rn", F.row_number().over(w)))
+    while True:
+        by_topic: dict[int, list[str]] = {}
+        for r in ranked.where(F.col("rn") <= candidates).orderBy("topic", "rn").collect():
+            by_topic.setdefault(r["topic"], []).append(r["term"])
+        used: set[str] = set()
+        out, short = {}, False
+        for t in sorted(topics):
+            picked: list[str] = []
+            for term in by_topic.get(t, []):
+                if len(picked) < terms and not used & set(term.split()):
+                    picked.append(term)
+                    used |= set(term.split())
+            short = short or (len(picked) < terms and len(by_topic.get(t, [])) == candidates)
+            out[t] = ", ".join(picked) or f"theme {t}"
+        if not short:
+            return out
+        candidates *= 4
 
 
 def first_quotes(extractions: DataFrame) -> DataFrame:

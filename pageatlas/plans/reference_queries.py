@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pageatlas.config import Enrich
@@ -28,19 +29,32 @@ def query(sql: str | None):
 # --- A: tables ------------------------------------------------------------------------------------
 
 
-@query("SELECT run_id, count(*) AS n, count(DISTINCT url) AS urls, max(fetched_at) AS last_at FROM fetches GROUP BY run_id")
+@query("SELECT run_id, url, fetched_at, status, etag, error FROM (SELECT DISTINCT * FROM fetches WHERE run_id IS NOT NULL)")
 def a9_read_fetch_log(spark, sf_dir):
-    return table(spark, sf_dir, "fetches").groupBy("run_id").agg(F.count("*").alias("n"), F.count_distinct("url").alias("urls"), F.max("fetched_at").alias("last_at"))
-
-
-@query("""
-SELECT DISTINCT raw_object_key FROM fetches WHERE raw_object_key IS NOT NULL AND run_id = (SELECT max(run_id) FROM fetches)
-AND raw_object_key NOT IN (SELECT raw_object_key FROM fetches WHERE raw_object_key IS NOT NULL AND run_id < (SELECT max(run_id) FROM fetches))""")
+    """The log as parts of a store, one by hour of the day, each with columns of its own, read again by name."""
+    from pageatlas.schemas import SCHEMAS
+    from pageatlas.session import scratch
+    from pageatlas.sources.store import Store
+
+    store = Store(spark, scratch(spark))
+    log = table(spark, sf_dir, "fetches").distinct().where("run_id is not null")
+    early = F.coalesce(F.substring("fetched_at", 12, 2) < "12", F.lit(True))
+    store.append("fetches", log.where(early).withColumn("status", F.col("status").cast("int")).drop("bytes"), "early")
+    store.append("fetches", log.where(~early).withColumn("note", F.lit("x")), "late")
+    return store.read_parts("fetches", SCHEMAS["fetches"]).select("run_id", "url", "fetched_at", "status", "etag", "error")
+
+
+@query("""WITH runs AS (SELECT DISTINCT run_id FROM fetches WHERE raw_object_key IS NOT NULL), mid AS (SELECT quantile_disc(run_id, 0.5) AS m FROM runs)
+SELECT DISTINCT raw_object_key FROM fetches, mid WHERE raw_object_key IS NOT NULL AND run_id >= m
+AND raw_object_key NOT IN (SELECT raw_object_key FROM fetches, mid WHERE raw_object_key IS NOT NULL AND run_id < m)""")
 def a13_raw_objects_to_store(spark, sf_dir):
+    """Objects that the later half of the runs has to write, the earlier half having written its own."""
     f = table(spark, sf_dir, "fetches").where("raw_object_key is not null")
-    last = table(spark, sf_dir, "fetches").agg(F.max("run_id").alias("last"))
-    runs = f.crossJoin(F.broadcast(last))  # one row
-    return fetchlog.missing_raw(runs.where("run_id = last").select("raw_object_key").distinct(), runs.where("run_id < last").select("raw_object_key"))
+    w = Window.orderBy("run_id")  # a row per run
+    runs = f.where("run_id is not null").select("run_id").distinct()
+    half = runs.withColumn("place", F.row_number().over(w)).crossJoin(F.broadcast(runs.agg(F.count("*").alias("n")))).where("place = ceil(n * 0.5)").select(F.col("run_id").alias("m"))
+    both = f.crossJoin(F.broadcast(half))  # one row
+    return fetchlog.missing_raw(both.where("run_id >= m").select("raw_object_key").distinct(), both.where("run_id < m").select("raw_object_key"))
 
 
 # --- B: directory -----------------------------------------------------------------------------------
@@ -267,17 +281,16 @@ def c21_error_reasons(spark, sf_dir):
 # --- D: versions ------------------------------------------------------------------------------------
 
 _STAMPED = r"""(SELECT doc_id, coalesce(text, '') || chr(10) || chr(10) || chr(10) || CASE doc_id % 4 WHEN 0 THEN 'Last updated: March 2026' WHEN 1 THEN '  _This page was last modified on 3 March 2026_  '
-  WHEN 2 THEN '1,234 visitors since' ELSE 'updated 2026-01-04 | 12 views' END || '   ' || chr(10) || 'end' AS t FROM documents WHERE coalesce(text, '') NOT LIKE '%' || chr(13) || '%')"""
+  WHEN 2 THEN '1,234 visitors since' ELSE 'updated 2026-01-04 | 12 views' END || '   ' || chr(10) || 'end' AS t FROM documents)"""
 
 
-def _stamped(spark, sf_dir, every=False):
+def _stamped(spark, sf_dir):
     tail = F.get(F.array(*map(F.lit, ("Last updated: March 2026", "  _This page was last modified on 3 March 2026_  ", "1,234 visitors since", "updated 2026-01-04 | 12 views"))), (F.col("doc_id") % 4).cast("int"))
     text = F.coalesce("text", F.lit(""))
-    docs = table(spark, sf_dir, "documents")
-    return (docs if every else docs.where(~text.contains("\r"))).select("doc_id", F.concat(text, F.lit("\n\n\n"), tail, F.lit("   \nend")).alias("t"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(text, F.lit("\n\n\n"), tail, F.lit("   \nend")).alias("t"))
 
 
-@query(rf"""SELECT doc_id, regexp_replace(regexp_replace(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: rtrim(regexp_replace(x, '(?i)\b\d[\d,]*\s+(visitors?|views?|hits|visits)\b', '', 'g'))),
+@query(rf"""SELECT doc_id, regexp_replace(regexp_replace(array_to_string(list_filter(list_transform(regexp_split_to_array(t, '\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: rtrim(regexp_replace(x, '(?i)\b\d[\d,]*\s+(visitors?|views?|hits|visits)\b', '', 'g'))),
   lambda x: NOT regexp_matches(trim(x), '(?i)^[^\p{{L}}\p{{N}}_]*(this page was\s+)?(last\s+)?(updated|modified|edited)\b.{{0,60}}$')), chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g'), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') AS normal
 FROM {_STAMPED}""")
 def d4_normalize_text(spark, sf_dir):
@@ -291,12 +304,12 @@ def d3_stated_date(spark, sf_dir):
 
 @query(None)
 def d4_all_texts(spark, sf_dir):
-    return _stamped(spark, sf_dir, every=True).select("doc_id", page.normalize(F.col("t")).alias("normal"))
+    return _stamped(spark, sf_dir).select("doc_id", page.normalize(F.col("t")).alias("normal"))
 
 
 @query(None)
 def d3_all_texts(spark, sf_dir):
-    return _stamped(spark, sf_dir, every=True).select("doc_id", page.stated_date(F.col("t")).alias("stated"))
+    return _stamped(spark, sf_dir).select("doc_id", page.stated_date(F.col("t")).alias("stated"))
 
 
 @query("SELECT DISTINCT text_hash IS NOT DISTINCT FROM sha256(text_md) AS same, version_id, sha256(text_md) AS hashed FROM versions WHERE text_md IS NOT NULL")
@@ -345,25 +358,35 @@ def d12_version_islands(spark, sf_dir):
     return fetchlog.version_islands(table(spark, sf_dir, "fetches"))
 
 
+#: Texts of two kinds, by their object's key: a hundred lines, all of them of the kind but for one of the object's
+#: own. Two texts of a kind are alike but for that line, which is no meaningful change.
+_FOLDED_SQL = """WITH u AS (SELECT DISTINCT url, fetched_at, status, content_hash, raw_object_key, CASE WHEN sha1(raw_object_key)[1] < '8' THEN 'low' ELSE 'high' END AS kind
+  FROM fetches WHERE status IN (200, 304) AND content_hash IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY fetched_at, content_hash, raw_object_key) AS rn FROM u),
+o AS (SELECT *, CASE WHEN status <> 304 OR rn = 1 THEN kind END AS own FROM n),
+b AS (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY url ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM o),
+s AS (SELECT *, own IS NOT NULL AND (rn = 1 OR own <> before) AS opens FROM b),
+t AS (SELECT *, CASE WHEN opens THEN sha256(array_to_string(list_transform(range(1, 100), lambda i: kind || ' line ' || i), chr(10)) || chr(10) || raw_object_key) END AS hashed FROM s),
+f AS (SELECT *, last_value(CASE WHEN opens THEN fetched_at END IGNORE NULLS) OVER w AS first_seen, last_value(hashed IGNORE NULLS) OVER w AS text_hash FROM t WINDOW w AS (PARTITION BY url ORDER BY rn ROWS UNBOUNDED PRECEDING))
+"""
+
+
 def _folded(spark, sf_dir):
     empty = table(spark, sf_dir, "versions").where("1 = 0")
     fetches = table(spark, sf_dir, "fetches")
-    text = F.concat(F.lit("page "), "raw_object_key", F.lit("\nof "), "url")
-    texts = fetches.where("raw_object_key is not null").select("url", "raw_object_key", text.alias("text"), F.lit(None).cast("string").alias("stated_date")).distinct()
+    kind = F.when(F.substring(F.sha1("raw_object_key"), 1, 1) < "8", "low").otherwise("high")
+    lines = F.transform(F.sequence(F.lit(1), F.lit(99)), lambda i: F.concat(kind, F.lit(" line "), i.cast("string")))
+    text = F.concat_ws("\n", F.array_join(lines, "\n"), "raw_object_key")
+    texts = fetches.where("raw_object_key is not null").select("url", "raw_object_key").distinct().select("url", "raw_object_key", text.alias("text"), F.lit(None).cast("string").alias("stated_date"))
     return versions.fold_versions(fetches, empty, texts)
 
 
-@query(None)
+@query(_FOLDED_SQL + "SELECT url, CASE WHEN opens THEN 'new' ELSE 'unchanged' END AS action, sha1(url || chr(0) || text_hash || chr(0) || first_seen) AS version_id, first_seen, fetched_at AS last_seen FROM f")
 def d15_fold_versions(spark, sf_dir):
     return _folded(spark, sf_dir).select("url", "action", "version_id", "first_seen", "last_seen")
 
 
-@query("""WITH u AS (SELECT DISTINCT url, fetched_at, status, content_hash, raw_object_key FROM fetches WHERE status IN (200, 304) AND content_hash IS NOT NULL),
-n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY fetched_at, content_hash) AS rn FROM u),
-o AS (SELECT *, CASE WHEN status <> 304 OR rn = 1 THEN content_hash END AS own FROM n),
-b AS (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY url ORDER BY fetched_at, content_hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM o)
-SELECT count(*) AS examined, count(*) FILTER (own IS NOT NULL AND (rn = 1 OR own <> before)) AS new_versions, count(*) FILTER (NOT (own IS NOT NULL AND (rn = 1 OR own <> before))) AS unchanged,
-  count(*) FILTER (own IS NOT NULL AND (rn = 1 OR own <> before)) AS needs_js, 0::BIGINT AS errors FROM b""")
+@query(_FOLDED_SQL + "SELECT count(*) AS examined, count(*) FILTER (opens) AS new_versions, count(*) FILTER (NOT opens) AS unchanged, 0::BIGINT AS needs_js, 0::BIGINT AS errors FROM f")
 def d18_extract_report(spark, sf_dir):
     return versions.extract_report(_folded(spark, sf_dir))
 
@@ -439,10 +462,11 @@ def e8_explode_focuses(spark, sf_dir):
     )
 
 
-@query("SELECT prompt_version, count(*) AS candidates, count(*) FILTER (json_type(CASE WHEN json_valid(json) THEN json ELSE '{}' END, '$.focuses') = 'ARRAY') AS readable FROM (SELECT DISTINCT version_id, prompt_version, json FROM extractions) GROUP BY 1")
+@query(_OBJECTS + """, good AS (SELECT prompt_version, count(*) AS enriched, sum(least(len(f), 5)) AS focuses FROM c WHERE ok AND version_id IN (SELECT version_id FROM versions) GROUP BY 1),
+tried AS (SELECT prompt_version, count(*) AS candidates FROM (SELECT DISTINCT version_id, prompt_version, json FROM extractions) GROUP BY 1)
+SELECT prompt_version, candidates, coalesce(enriched, 0) AS enriched, candidates - coalesce(enriched, 0) AS failed, coalesce(focuses, 0)::BIGINT AS focuses FROM tried LEFT JOIN good USING (prompt_version)""")
 def e12_enrich_report(spark, sf_dir):
-    e = table(spark, sf_dir, "extractions").select("version_id", "prompt_version", "json").distinct()
-    return e.groupBy("prompt_version").agg(F.count("*").alias("candidates"), F.count_if(enrich.parse_enrichment(F.col("json")).isNotNull()).alias("readable"))
+    return enrich.enrich_report(table(spark, sf_dir, "extractions"), table(spark, sf_dir, "versions"))
 
 
 # --- F: embedding -----------------------------------------------------------------------------------
@@ -471,10 +495,12 @@ def f3_candidate_focuses(spark, sf_dir):
     return enrich.candidate_focuses(table(spark, sf_dir, "focuses"), latest).select("focus_id", "version_id").distinct()
 
 
-@query(f"SELECT DISTINCT focus_id FROM {_CANDIDATES} WHERE focus_id NOT IN (SELECT id FROM focus_vectors WHERE kind = 'focus' AND model = 'sentence-mini-64' AND id IS NOT NULL)")
+@query(f"SELECT DISTINCT focus_id FROM {_CANDIDATES} WHERE focus_id NOT IN (SELECT id FROM focus_vectors WHERE kind = 'focus' AND model = 'sentence-mini-64' AND id IS NOT NULL AND sha1(id)[1] < '8')")
 def f4_todo_focuses(spark, sf_dir):
+    """What is left to encode after a run that got through half of the focuses."""
     c = enrich.candidate_focuses(table(spark, sf_dir, "focuses"), versions.latest_versions(table(spark, sf_dir, "versions")))
-    return enrich.todo_focuses(c, table(spark, sf_dir, "focus_vectors"), "sentence-mini-64").select("focus_id").distinct()
+    done = table(spark, sf_dir, "focus_vectors").where(F.substring(F.sha1("id"), 1, 1) < "8")
+    return enrich.todo_focuses(c, done, "sentence-mini-64").select("focus_id").distinct()
 
 
 # --- G: topics --------------------------------------------------------------------------------------
@@ -611,11 +637,20 @@ def g21_excerpt(spark, sf_dir):
     return table(spark, sf_dir, "versions").where("text_md is not null").select("version_id", page.excerpt(F.col("text_md")).alias("excerpt")).distinct()
 
 
-@query(None)
+@query(_FOC + rf""", near AS (SELECT f.version_id, topic, summary, row_number() OVER (PARTITION BY f.version_id, topic ORDER BY -list_dot_product(v, c) / greatest(sqrt(list_dot_product(c, c)), 1e-9), focus_id, summary NULLS FIRST) AS rn FROM foc f JOIN cents USING (topic)),
+tops AS (SELECT w.version_id, string_agg(w.topic || ':' || round_even(weight, 3) || ':' || coalesce(summary, ''), ';' ORDER BY round_even(weight, 3) DESC, w.topic) AS topics FROM wts w LEFT JOIN (SELECT * FROM near WHERE rn = 1) n USING (version_id, topic) GROUP BY w.version_id),
+quoted AS (SELECT version_id, arg_max(q, (coalesce(created_at, ''), prompt_version, q)) AS quote FROM (SELECT version_id, created_at, prompt_version, json_extract_string(json, '$.quotes[0]') AS q FROM extractions WHERE json_valid(json)) WHERE length(q) > 0 GROUP BY version_id),
+owner AS (SELECT url, name, city, country FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY coalesce(valid_from, '') DESC, name DESC NULLS LAST, city DESC NULLS LAST, country DESC NULLS LAST) AS rn FROM people WHERE coalesce(valid_to, '') = '') WHERE rn = 1),
+page AS (SELECT version_id, url, last_seen, {_ONE.format(_PLAIN)} AS p FROM {_LATEST.format(_READY)} WHERE version_id IN (SELECT version_id FROM foc))
+SELECT p.version_id AS id, p.url, name, city, country, last_seen AS captured_at, coalesce(quote, substr(p, 1, 280) || CASE WHEN length(p) > 280 THEN '…' ELSE '' END) AS excerpt, coalesce(topics, '') AS topics
+FROM page p LEFT JOIN tops USING (version_id) LEFT JOIN quoted USING (version_id) LEFT JOIN owner ON p.url = owner.url""")
 def g22_export_points(spark, sf_dir):
     f = _foc(spark, sf_dir)
     pages = versions.latest_versions(table(spark, sf_dir, "versions")).join(f.select("version_id").distinct(), "version_id", "left_semi")
-    return topics.export_points(pages, topics.page_topic_weights(f), topics.snippets(f, topics.centroids(f)), topics.first_quotes(table(spark, sf_dir, "extractions")), table(spark, sf_dir, "people"))
+    points = topics.export_points(pages, topics.page_topic_weights(f), topics.snippets(f, topics.centroids(f)), topics.first_quotes(table(spark, sf_dir, "extractions")), table(spark, sf_dir, "people"))
+    listed = F.from_json("topics", "array<struct<id:int,weight:double,snippet:string>>")
+    flat = F.array_join(F.transform(listed, lambda t: F.concat_ws(":", t["id"].cast("string"), t["weight"].cast("string"), F.coalesce(t["snippet"], F.lit("")))), ";")
+    return points.withColumn("topics", flat)
 
 
 @query(_FOC + "SELECT topic, count(DISTINCT version_id) AS pages FROM wts WHERE weight > 0 GROUP BY topic")

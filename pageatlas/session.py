@@ -38,8 +38,7 @@ def durable(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     each time. ``replaces``: an earlier result of this function that nothing reads any more.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/pageatlas-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._durable_path = path
@@ -49,6 +48,12 @@ def durable(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder of its own in the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/pageatlas-{uuid.uuid4().hex}"
+
+
 def numbered(df: DataFrame, name: str, *by) -> DataFrame:
     """``df``, durable, with its rows' places 0, 1, 2, ... in the order of ``by``. Rows are sorted in ranges over
     the tasks; only a number and a count per task come to the driver. ``by`` should leave no ties."""

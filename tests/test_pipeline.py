@@ -119,6 +119,50 @@ def test_merge_similar_takes_any_number_of_topics(spark):
     assert topics.merge_similar(many, 0.99999) == {k: k for k in range(5_001)}
 
 
+def test_labels_look_beyond_their_first_candidates(spark):
+    rows = [(0, f"w{i:02d}", 10.0 - i) for i in range(9)] + [(1, f"w{i:02d}", 10.0 - i) for i in range(9)] + [(1, "late", 0.1), (2, "w00 w01", 5.0)]
+    scores = spark.createDataFrame(rows, "topic int, term string, score double")
+    want = {0: "w00, w01, w02", 1: "w03, w04, w05", 2: "theme 2"}
+    assert topics.pick_labels(scores, [0, 1, 2], candidates=1) == topics.pick_labels(scores, [0, 1, 2]) == want
+
+
+def test_hot_url_folds_over_its_days(spark):
+    import random
+
+    rng = random.Random(7)
+    rows, state = [], {}
+    for k in range(400):
+        url = "hot" if k % 3 else f"u{k % 7}"
+        status = rng.choice([200, 200, 304])
+        h = rng.choice("abc") if status == 200 else state.get(url, "a")
+        state[url] = h
+        rows.append((url, f"2026-01-{1 + k // 40:02d}T{k % 40:02d}:00", status, h, None if h == "c" and rng.random() < 0.5 else f"k{h}", f"r{k:03d}"))
+    rows += rows[:5]  # repeated rows count once
+    fetches = spark.createDataFrame(rows, "url string, fetched_at string, status bigint, content_hash string, raw_object_key string, run_id string").repartition(4)
+    body = {"ka": "x\n" * 99 + "a", "kb": "x\n" * 99 + "b", "kc": "quite other"}  # a and b differ trivially
+    texts = spark.createDataFrame([(u, k, t, None) for u in {r[0] for r in rows} for k, t in body.items()], "url string, raw_object_key string, text string, stated_date string")
+    none = "url string, version_id string, first_seen string, last_seen string, text_md string, content_hash string, text_hash string, stated_date string"
+    latest = spark.createDataFrame([("u1", "old", "t", "2026-01-01T05:00", "quite other", "c", "h", None)], none)
+    want = set()
+    for url in {r[0] for r in rows}:
+        cur = ("old", "t", "quite other", "c") if url == "u1" else None
+        for _, at, status, h, key, _ in sorted({r for r in rows if r[0] == url and not (url == "u1" and r[1] <= "2026-01-01T05:00")}, key=lambda r: r[1]):
+            text = body.get(key)
+            if cur and (status == 304 or h == cur[3]):
+                action = "unchanged"
+            elif text is None:
+                action = "error"
+            elif cur and (text == cur[2] or not versions.changed_meaningfully(cur[2], text, 0.98)):
+                action, cur = "unchanged", (*cur[:3], h)
+            else:
+                action, cur = "new", (None, at, text, h)
+            want.add((url, at, action, cur[1] if cur and action != "error" else None))
+    got = versions.fold_versions(fetches, latest, texts).select("url", "last_seen", "action", "first_seen").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and {a for _, _, a, _ in want} == {"new", "unchanged", "error"}
+    empty = versions.fold_versions(fetches.limit(0), latest.limit(0), texts.limit(0))
+    assert empty.count() == 0
+
+
 def test_html():
     html = "<html><head><title>t</title></head><body><nav>menu</nav><h2>Now</h2><p>Some <b>bold</b> text<br>next</p><ul><li>one</li></ul><div id='x'><p>part</p></div><footer>f</footer></body></html>"
     assert main_text_of("https://a.example", html) == "## Now\n\nSome bold text\nnext\n\n- one\n\npart"
