@@ -43,18 +43,30 @@ def fold(text: str) -> str:
 
 
 @arrow_function("struct<attrs:string,place:string>")
-def directory_keys(
-    name: pd.Series, city: pd.Series, state: pd.Series, country: pd.Series
-) -> pd.DataFrame:
-    """``attrs``: the four compared attributes in comparison form; ``place``: name and city, folded."""
+def _directory_keys(name: pd.Series, city: pd.Series, state: pd.Series, country: pd.Series) -> pd.DataFrame:
     attrs, place = [], []
     for row in zip(name, city, state, country):
+        if row == (None, None, None, None):
+            attrs.append("")
+            place.append("")
+            continue
         n, c, s, k = (same_value(v) for v in row)
         attrs.append("\x1f".join((n, c, s, k)))
         place.append(fold(n) + "\x1f" + fold(c))
     return pd.DataFrame({"attrs": attrs, "place": place})
 
 
+def directory_keys(*columns: str) -> Column:
+    """Of name, city, state and country, ``attrs``: the four in comparison form; ``place``: name and city, folded.
+
+    Rows of ASCII letters, for which the JVM has the rules, do without Python's."""
+    plain = ~F.concat_ws("", *columns).rlike(r"[^\x00-\x7f]")
+    same = [F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s\x0B\x1C-\x1F]+", " ")) for c in columns]
+    folded = F.concat_ws("\x1f", F.lower(same[0]), F.lower(same[1]))
+    simple = F.struct(F.concat_ws("\x1f", *same).alias("attrs"), folded.alias("place"))
+    return F.when(plain, simple).otherwise(_directory_keys(*[F.when(~plain, F.col(c)) for c in columns]))
+
+
 @arrow_function("string")
 def casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else fold(v))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,9 +15,9 @@ from pageatlas.session import durable
 SCAN_LINES = 50_000
 
 
-def day_records(snapshots: DataFrame) -> DataFrame:
+def day_records(snapshots: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """(day_no, url, line_no, attrs, place): of several lines for one url and day the lowest."""
-    lines = candidate_lines(snapshots).withColumn("k", directory_keys(*ATTRIBUTES))
+    lines = candidate_lines(snapshots, days).withColumn("k", directory_keys(*ATTRIBUTES))
     return (
         lines.groupBy("day_no", "url")
         .agg(F.min(F.struct("line_no", F.col("k.attrs").alias("attrs"), F.col("k.place").alias("place"))).alias("r"))
@@ -110,9 +112,11 @@ def attribute_history(people: DataFrame, snapshots: DataFrame) -> DataFrame:
     urls have no history. Empty snapshots return ``people``; empty people start from nothing.
     """
     spark = people.sparkSession
-    days = snapshot_days(snapshots).select("day_no", "day")
+    # read once: the days, a row each, and the rows of people, whose keys are costly
+    all_days = durable(snapshot_days(snapshots))
+    days = all_days.select("day_no", "day")
     last = days.agg(F.coalesce(F.max("day_no"), F.lit(0)).alias("last_day_no"))
-    known = (
+    known = durable(
         people.select("person_id", strip(F.col("url")).alias("url"), *ATTRIBUTES, "valid_from", "valid_to")
         .distinct()
         .where(F.col("url").isNotNull())
@@ -130,7 +134,7 @@ def attribute_history(people: DataFrame, snapshots: DataFrame) -> DataFrame:
         "url", F.lit(0).alias("day_no"), F.lit(-1).cast("long").alias("line_no"),
         F.col("open_row.attrs").alias("attrs"), F.col("open_row.place").alias("place"),
     )
-    records = day_records(snapshots)
+    records = day_records(snapshots, all_days)
     observed = carried.unionByName(records.select(carried.columns))
     entities = observed.groupBy("url").agg(
         F.collect_list(F.struct("day_no", "line_no", "attrs", "place")).alias("obs")
@@ -201,14 +205,20 @@ def attribute_history(people: DataFrame, snapshots: DataFrame) -> DataFrame:
             "parent",
         )
     )
-    while not links.where(F.col("owner").isNull()).isEmpty():
+    most = 2 + (all_days.count()).bit_length()  # a link leads to an earlier day
+    for doubled in itertools.count():
+        if links.where(F.col("owner").isNull()).isEmpty():
+            break
+        if doubled > most:
+            raise RuntimeError("owners point at each other in a circle")
         up = links.select(
             F.col("url").alias("parent"), F.col("owner").alias("up_owner"), F.col("parent").alias("up_parent")
         )
         links = durable(
             links.join(up, "parent", "left").select(
                 "url", F.coalesce("owner", "up_owner").alias("owner"), F.coalesce("up_parent", "parent").alias("parent")
-            )
+            ),
+            replaces=links,
         )
 
     begin_days, end_days = (

@@ -27,7 +27,7 @@ def snapshot_days(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def candidate_lines(snapshots: DataFrame) -> DataFrame:
+def candidate_lines(snapshots: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Lines of each day's highest delivery whose url is one; several per url may remain.
 
     A url counts without blanks at its ends and must begin with ``http://`` or ``https://`` in
@@ -41,7 +41,7 @@ def candidate_lines(snapshots: DataFrame) -> DataFrame:
         strip(F.col("url")).alias("url"),
         *ATTRIBUTES,
     ).where(F.col("day").isNotNull() & F.col("url").rlike("^https?://"))
-    return s.join(snapshot_days(snapshots), ["day", "delivery"])
+    return s.join(snapshot_days(snapshots) if days is None else days, ["day", "delivery"])
 
 
 def changes_between_days(snapshots: DataFrame) -> DataFrame:
