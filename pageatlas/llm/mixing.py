@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageatlas.session import durable
+
 #: Records of a source that one task sums in order.
 BUCKET_RECORDS = 4_000
 
@@ -35,7 +37,7 @@ def source_budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | Non
     )
 
 
-def mix_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 17, bucket_records: int = BUCKET_RECORDS) -> DataFrame:
+def mix_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 17, bucket_records: int = BUCKET_RECORDS, budgets: DataFrame | None = None) -> DataFrame:
     """(source, doc_id, epoch, n_tokens, take_tokens): the records that the mix takes, epoch by epoch.
 
     ``sized``: (doc_id, source, n_tokens). In each epoch a source's records stand in the order of a
@@ -44,15 +46,15 @@ def mix_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None =
     uniform, so equal ranges of them (as many as the source has thousands of records) hold equal shares
     of even the largest source; ranges are summed first, then each range in order on its own. Records
     without tokens take part with 0. Sources without a target, and targets without a source, give no
-    rows. Ties of keys go by doc_id.
+    rows. Ties of keys go by doc_id. ``budgets``: those of ``source_budgets``, if they are already known.
     """
-    budgets = source_budgets(sized, targets, total_tokens)
+    budgets = durable(source_budgets(sized, targets, total_tokens)) if budgets is None else budgets
     full = F.floor(F.col("budget") / F.col("available"))
     plan = budgets.where(F.col("budget") > 0).select(
         "source", full.cast("int").alias("full_epochs"), (F.col("budget") - full * F.col("available")).alias("rest"),
         F.ceil(F.col("records") / bucket_records).alias("ranges"),
     )
-    docs = sized.select("doc_id", "source", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).join(F.broadcast(plan), "source")  # one row per target
+    docs = sized.select("doc_id", "source", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).join(plan, "source")  # a row per target, which the planner sees
     whole = docs.where("full_epochs > 0").select("source", "doc_id", F.explode(F.sequence(F.lit(0), F.col("full_epochs") - 1)).alias("epoch"), "n_tokens", F.col("n_tokens").alias("take_tokens"))
     # of the last, partial epoch
     key = F.xxhash64(F.lit(seed), "full_epochs", "doc_id")

@@ -22,46 +22,62 @@ from pageatlas.session import durable
 
 #: Items of one sub-problem, islands that solve it, rounds between migrations, packings of an island, crossovers of a round.
 ITEMS, ISLANDS, ROUNDS, POPULATION, CROSSOVERS = 600, 3, 3, 8, 12
+#: Islands that one task evolves in turn.
+ISLANDS_A_TASK = 12
 #: A container filled less than this after the first pass is emptied and its items are packed anew.
 FULL_ENOUGH, PASSES = 0.98, 3
 
 
+class Bin(list):
+    """The items of a container, and how full they make it."""
+
+    __slots__ = ("fill",)
+
+    @classmethod
+    def of(cls, sizes: dict[int, int], items: list[int]) -> Bin:
+        b = cls(items)
+        b.fill = items.fill if isinstance(items, Bin) else sum(sizes[i] for i in items)
+        return b
+
+
 def best_fit(sizes: dict[int, int], items: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Put ``items``, largest first, each into the fullest container that holds it."""
-    room = sorted((capacity - sum(sizes[i] for i in b), k) for k, b in enumerate(bins))
+    bins[:] = [b if isinstance(b, Bin) else Bin.of(sizes, b) for b in bins]
+    room = sorted((capacity - b.fill, k) for k, b in enumerate(bins))
     for i in sorted(items, key=lambda i: (-sizes[i], i)):
         at = bisect.bisect_left(room, (sizes[i], -1))
         if at == len(room):
-            bins.append([i])
+            bins.append(Bin.of(sizes, [i]))
             bisect.insort(room, (capacity - sizes[i], len(bins) - 1))
         else:
             r, k = room.pop(at)
             bins[k].append(i)
+            bins[k].fill += sizes[i]
             bisect.insort(room, (r - sizes[i], k))
     return bins
 
 
 def fitness(sizes: dict[int, int], bins: list[list[int]], capacity: int) -> float:
     """Mean of squared fills: of packings with as many containers, the one whose waste is gathered in few."""
-    return sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins) / max(1, len(bins))
+    return sum((Bin.of(sizes, b).fill if not isinstance(b, Bin) else b.fill) ** 2 for b in bins) / capacity**2 / max(1, len(bins))
 
 
 def crossover(sizes: dict[int, int], a: list[list[int]], b: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
     """Inject some of the best-filled containers of ``a`` into ``b``; containers of ``b`` that share an item
     with them are broken up and what they lose is put back by best fit."""
-    ranked = sorted(a, key=lambda g: -sum(sizes[i] for i in g))
+    ranked = sorted((Bin.of(sizes, g) for g in a), key=lambda g: -g.fill)
     n = max(1, int(len(ranked) * rng.uniform(0.2, 0.6)))
-    injected = [list(g) for g in ranked[:n]]
+    injected = ranked[:n]
     taken = {i for g in injected for i in g}
     kept, loose = [], []
     for g in b:
         if taken.isdisjoint(g):
-            kept.append(list(g))
+            kept.append(Bin.of(sizes, g))
         else:
             loose.extend(i for i in g if i not in taken)
     # the least-filled container is broken up as well, as mutation
     if len(kept) > 1:
-        worst = min(range(len(kept)), key=lambda k: sum(sizes[i] for i in kept[k]))
+        worst = min(range(len(kept)), key=lambda k: kept[k].fill)
         loose.extend(kept.pop(worst))
     return best_fit(sizes, loose, injected + kept, capacity)
 
@@ -74,7 +90,8 @@ def evolve(sizes: dict[int, int], population: list[list[list[int]]], capacity: i
     least = max(1, math.ceil(total / capacity))
     while len(population) < POPULATION:
         first = [i for i in items if rng.random() < 0.5] if population else items
-        rest = [i for i in items if i not in set(first)] if population else []
+        chosen = set(first)
+        rest = [i for i in items if i not in chosen] if population else []
         bins = best_fit(sizes, first, [], capacity)
         rng.shuffle(rest)
         population.append(best_fit(sizes, rest, bins, capacity))
@@ -93,7 +110,7 @@ def evolve(sizes: dict[int, int], population: list[list[list[int]]], capacity: i
 def _islands(items: DataFrame, seed: int) -> DataFrame:
     """One pass over (kind, capacity, part, item, n): (kind, capacity, part, bin, members, fill)."""
     schema = "kind string, capacity bigint, part bigint, island int, fit double, bins array<array<bigint>>, items array<bigint>, sizes array<bigint>"
-    start = items.groupBy("kind", "capacity", "part").agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("x"))
+    start = durable(items.groupBy("kind", "capacity", "part").agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("x")))
     population = start.select(
         "kind", "capacity", "part", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"), F.lit(0.0).alias("fit"),
         F.array().cast("array<array<bigint>>").alias("bins"), F.col("x.item").alias("items"), F.col("x.n").alias("sizes"),
@@ -113,8 +130,10 @@ def _islands(items: DataFrame, seed: int) -> DataFrame:
 
         return run
 
+    # a task is a handful of islands: by a number of its own, as by bytes they would all be one
+    tasks = max(1, min(start.count() * ISLANDS // ISLANDS_A_TASK, 20_000))
     for number in range(ROUNDS):
-        evolved = population.groupBy("kind", "capacity", "part", "island").applyInPandas(one_round(number), schema)
+        evolved = population.repartition(tasks, "kind", "capacity", "part", "island").groupBy("kind", "capacity", "part", "island").applyInPandas(one_round(number), schema)
         if number + 1 < ROUNDS:  # migration along the ring
             population = evolved.withColumn("island", F.explode(F.array("island", ((F.col("island") + 1) % ISLANDS).cast("int"))))
             population = durable(population)

@@ -86,7 +86,8 @@ def p9_mix(spark, sf_dir):
 
 def p9_shares(spark, sf_dir):
     sized, targets = _sized(spark, sf_dir), table(spark, sf_dir, "mix_targets")
-    return mixing.mix_report(mixing.mix_sources(sized, targets), mixing.source_budgets(sized, targets))
+    budgets = durable(mixing.source_budgets(sized, targets))
+    return mixing.mix_report(mixing.mix_sources(sized, targets, budgets=budgets), budgets)
 
 
 def p10_found(spark, sf_dir):
