@@ -51,8 +51,6 @@ class Cluster:
     min_cluster_size: int = 8
     min_topic_pages: int = 3
     merge_cosine: float = 0.85
-    small_threshold: int = 100
-    seed: int = 42
     label_terms: int = 3
     label_max_page_share: float = 0.4
     topic_sample_size: int = 10

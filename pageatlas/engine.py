@@ -6,6 +6,7 @@ enricher, an encoder, a namer. Each stage reads its tables, writes its own, and
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 from collections.abc import Callable
@@ -18,7 +19,8 @@ from pageatlas.config import Tuning
 from pageatlas.functions.url import authority, base_url
 from pageatlas.operators import directory, enrich, fetchlog, hdbscan, layout, topics, versions
 from pageatlas.schemas import SCHEMAS
-from pageatlas.session import durable, numbered
+from pageatlas.session import durable, numbered, temporary
+from pageatlas.sources.polite import PoliteFetcher
 from pageatlas.sources.store import Store
 
 
@@ -45,6 +47,17 @@ def decoded(body: bytes, content_type: str | None) -> str:
         return body.decode("utf-8", "replace")
 
 
+def _stage(f):
+    """A stage that leaves tables of the store only; what it wrote on the way is deleted."""
+
+    @functools.wraps(f)
+    def run(self, *args, **kwargs):
+        with temporary(self.spark):
+            return f(self, *args, **kwargs)
+
+    return run
+
+
 class Engine:
     def __init__(self, spark: SparkSession, root: str, tuning: Tuning | None = None):
         self.spark, self.store, self.tuning = spark, Store(spark, root), tuning or Tuning()
@@ -67,6 +80,7 @@ class Engine:
         body = got.get("body") or ""
         return self.directory(decoded(body, got.get("content_type")) if isinstance(body, bytes) else body, day)
 
+    @_stage
     def directory(self, text: str, day: str) -> dict:
         """Snapshot the directory of ``day`` and bring ``people`` up to it; refuses an empty one."""
         lines = self.spark.createDataFrame([(day, text)], "file string, t string").select("file", F.posexplode(F.split("t", r"\r\n|[\n\r]")).alias("line_no", "line"))
@@ -85,6 +99,11 @@ class Engine:
         changed = ended.join(rows.select("url"), "url", "left_semi").count()
         return {"rows": rows.count(), "new": new, "changed": changed, "removed": ended.count() - changed}
 
+    def polite(self, transport: Callable[[str, dict], dict], user_agent: str) -> PoliteFetcher:
+        """A fetcher for ``crawl`` that keeps to the configured delay of a host."""
+        return PoliteFetcher(transport, user_agent, self.tuning.crawl.host_delay)
+
+    @_stage
     def crawl(self, fetcher: Callable[[str, str | None, str | None], dict], limit: int = 0) -> dict:
         """Fetch each base url of open rows once. ``fetcher(base, etag, last_modified)`` gives a response:
         status, content_type, body, etag, last_modified, robots_tag, final_url, or error. Hosts are not
@@ -151,6 +170,7 @@ class Engine:
         self.store.write_json(f"runs/{run_id}-crawl.json", json.dumps({"stage": "crawl", "started_at": at, **out}))
         return out
 
+    @_stage
     def extract(self, reader: Callable[[str, str], str] | None = None) -> dict:
         """Fold fetches into versions. ``reader(url, html)`` gives a page's text; by default the main text."""
         from pageatlas.functions.html import main_text_of
@@ -183,6 +203,7 @@ class Engine:
         self.store.write_json(f"runs/{new_run_id()}-extract.json", json.dumps({"stage": "extract", **report}))
         return report
 
+    @_stage
     def enrich(self, enricher: Callable[[str], str], limit: int | None = None, model: str = "plugged") -> dict:
         """Ask ``enricher`` about each page that is still to do, ``concurrency`` pages at once, and write down what came
         back after every ``checkpoint_every`` pages of each: an interrupted run keeps what it wrote, and goes on from there."""
@@ -208,6 +229,7 @@ class Engine:
             done["focuses"] += focuses.count()
         return {"candidates": n or latest.count(), "enriched": done["enriched"], "failed": n - done["enriched"], "focuses": done["focuses"]}
 
+    @_stage
     def embed(self, encoder: Callable[[list[str]], list], revision: str = "1") -> dict:
         model = self.tuning.embed.model
         candidates = enrich.candidate_focuses(self._table("focuses"), versions.latest_versions(self._table("versions")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageatlas.functions.text import casefold, strip
-from pageatlas.session import durable
+from pageatlas.session import durable, numbered
 
 FIELDS = ["name", "city", "state", "country", "created", "updated", "checked", "url"]
 COMPARED = ["name", "city", "state", "country"]
@@ -94,6 +94,15 @@ def update_people(people: DataFrame, rows: DataFrame, today: str) -> DataFrame:
     return ended.withColumn("block", F.lit(0)).withColumn("pos", F.col("seq")).select(columns).unionByName(added.select(columns))
 
 
+def applied_changes(people: DataFrame, rows: DataFrame) -> DataFrame:
+    """(change, url), in order, of what ``update_people`` does with the day's rows: ``new`` urls had no open row,
+    ``changed`` and ``removed`` ones have theirs closed."""
+    open_rows = people.where(F.col("valid_to").isNull()).select("url", F.struct(*COMPARED).alias("was"))
+    now = rows.select("url", F.struct(*COMPARED).alias("is"))
+    change = F.when(F.col("was").isNull(), "new").when(F.col("is").isNull(), "removed").when(~F.col("was").eqNullSafe(F.col("is")), "changed")
+    return open_rows.join(now, "url", "full_outer").select(change.alias("change"), "url").where(F.col("change").isNotNull()).distinct().orderBy("change", "url")
+
+
 def update_people_daily(people: DataFrame, rows: DataFrame) -> DataFrame:
     """The people table, with ``seq``, after every day of ``rows`` (parsed, with ``day``) in order. Each day needs
     the table the day before left, so days follow one another; a day without a row changes nothing, as the
@@ -101,5 +110,5 @@ def update_people_daily(people: DataFrame, rows: DataFrame) -> DataFrame:
     rows = durable(rows)
     for r in rows.select("day").distinct().orderBy("day").collect():  # a row per day
         out = update_people(people, rows.where(F.col("day") == r["day"]), r["day"])
-        people = durable(out.withColumn("seq", F.row_number().over(Window.orderBy("block", "pos")).cast("bigint")).drop("block", "pos"), replaces=people)
+        people = durable(numbered(out, "place", "block", "pos").withColumn("seq", F.col("place") + 1).drop("block", "pos", "place"), replaces=people)
     return people

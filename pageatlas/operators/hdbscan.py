@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageatlas.session import durable
+from pageatlas.session import durable, numbered
 
 #: More vectors than that do not come to the driver. Rows of a block; edge lists that one task makes one.
 MOST_VECTORS, BLOCK, FAN_IN = 20_000, 4_000, 8
@@ -158,22 +158,9 @@ def _nearest(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _numbered(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with their number in order of id, and how many there are."""
-    rows = durable(vectors.select("id", "vector").orderBy("id").withColumn("at", F.monotonically_increasing_id()))
-    part, within = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    counts = sorted((r["p"], r["n"]) for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())  # a row per task
-    starts, n = [], 0
-    for p, k in counts:
-        starts.append((p, n))
-        n += k
-    offsets = vectors.sparkSession.createDataFrame(starts, "p bigint, start bigint")
-    return rows.withColumn("p", part).join(F.broadcast(offsets), "p").select("id", "vector", (F.col("start") + within).alias("row")), n
-
-
 def _cluster_by_blocks(vectors: DataFrame, min_cluster_size: int, block: int) -> DataFrame:
-    rows, n = _numbered(vectors)
-    rows = durable(rows)
+    rows = durable(numbered(vectors.select("id", "vector"), "row", "id"))
+    n = rows.count()
     k, parts = min(min_cluster_size, n), -(-n // block)
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:

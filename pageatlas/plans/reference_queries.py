@@ -10,7 +10,7 @@ from pageatlas.functions import page
 from pageatlas.functions.url import authority, base_url, host, raw_object_key, url_key
 from pageatlas.functions.vector import cosine, doubles, mean_pool
 from pageatlas.operators import directory, enrich, fetchlog, snapshots, topics, versions, viewagg
-from pageatlas.session import table
+from pageatlas.session import numbered, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -100,6 +100,11 @@ def b4_person_id(spark, sf_dir):
     return table(spark, sf_dir, "people").where("url is not null").select("url", directory.person_id(F.col("url")).alias("person_id")).distinct()
 
 
+def _numbered_people(spark, sf_dir):
+    people = numbered(table(spark, sf_dir, "people").distinct(), "place", "valid_from", "url", "person_id")
+    return people.withColumn("seq", F.col("place") + 1).drop("place")
+
+
 _FOLD = "replace(lower({0}), 'ß', 'ss')"
 _PEOPLE_SQL = ", ppl AS (SELECT *, row_number() OVER (ORDER BY valid_from, url, person_id) AS seq FROM (SELECT DISTINCT * FROM people)), cur AS (SELECT f, line_no, url FROM parsed WHERE file = '2026-01-04/1')"
 
@@ -120,12 +125,17 @@ FROM ppl LEFT JOIN (SELECT seq, fate FROM fate WHERE fate IS NOT NULL) USING (se
 UNION ALL SELECT person_id, f[1], url, f[2], f[3], f[4], '2026-01-04', NULL FROM fate WHERE fate = 'changed'
 UNION ALL SELECT person_id, f[1], url, f[2], f[3], f[4], '2026-01-04', NULL FROM given""")
 def b10_update_people(spark, sf_dir):
-    from pyspark.sql import Window
-
-    people = table(spark, sf_dir, "people").distinct().withColumn("seq", F.row_number().over(Window.orderBy("valid_from", "url", "person_id")))
+    people = _numbered_people(spark, sf_dir)
     return directory.update_people(people, _two_days(spark, sf_dir)[0], "2026-01-04").drop("block", "pos")
 
 
+@query(_PARSED_SQL + _PEOPLE_SQL + """, was AS (SELECT url, [name, city, state, country] AS w FROM ppl WHERE valid_to IS NULL)
+SELECT DISTINCT CASE WHEN was.url IS NULL THEN 'new' WHEN cur.url IS NULL THEN 'removed' ELSE 'changed' END AS change, coalesce(was.url, cur.url) AS url
+FROM was FULL JOIN cur ON was.url = cur.url WHERE was.url IS NULL OR cur.url IS NULL OR w IS DISTINCT FROM cur.f[1:4]""")
+def b12_applied_changes(spark, sf_dir):
+    return directory.applied_changes(table(spark, sf_dir, "people").distinct(), _two_days(spark, sf_dir)[0])
+
+
 def _all_days(spark, sf_dir):
     """Every day's parsed rows of its highest delivery, and the days."""
     days = snapshots.snapshot_days(table(spark, sf_dir, "directory_snapshots"))
@@ -146,9 +156,7 @@ def b3_all_days(spark, sf_dir):
 
 @query(None)
 def b10_all_days(spark, sf_dir):
-    from pyspark.sql import Window
-
-    people = table(spark, sf_dir, "people").distinct().withColumn("seq", F.row_number().over(Window.orderBy("valid_from", "url", "person_id")))
+    people = _numbered_people(spark, sf_dir)
     return directory.update_people_daily(people, _all_days(spark, sf_dir)[0])
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +77,17 @@ def _delete(spark: SparkSession, path: str) -> None:
     _written.discard(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Durable tables made inside are deleted at the end: for work that hands on no result that reads them."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in _written - before:
+            _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete all durable tables of this process, once no result that reads them is needed any more."""
     for path in list(_written):
