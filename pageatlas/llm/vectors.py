@@ -23,7 +23,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pageatlas.session import durable, numbered
 
-#: Vectors a tree is fitted on (as many as expected of a hash sample, below the first level) and held-out queries.
+#: Vectors a tree is fitted on (as many as expected of a hash sample, below the first level); queries of the
+#: calibration that are held out of the fit, and as many that are not.
 SAMPLE, HELD_OUT = 20_000, 300
 #: Children of a tree node, wanted members of a leaf, and sampled vectors a leaf needs at least.
 BRANCHES, LEAF_MEMBERS, LEAF_SAMPLE = 24, 200, 8
@@ -295,12 +296,16 @@ def build_index(classes: DataFrame, k: int, target_recall: float) -> Index:
         rows = durable(_with_trees(at, subs, deeper, _ROWS).unionByName(at.join(subs.select("cell"), "cell", "left_anti").select(*rows.columns)))
     if not held_out:
         return Index(tree, subs, rows, 2.0, 1.0)
-    slack, recall = _calibrate(tree, subs, rows, drawn["num"].slice(0, held_out), x[:held_out], k, target_recall)
+    slack, recall = _calibrate(tree, subs, rows, drawn["num"].slice(0, 2 * held_out), x[: 2 * held_out], held_out, k, target_recall)
     return Index(tree, subs, rows, slack, recall)
 
 
-def _calibrate(tree: Tree, subs: DataFrame | None, rows: DataFrame, nums, held: np.ndarray, k: int, target_recall: float) -> tuple[float, float]:
-    """The slack down to which held-out queries open the leaves of so large a share of their true neighbours."""
+def _calibrate(tree: Tree, subs: DataFrame | None, rows: DataFrame, nums, held: np.ndarray, held_out: int, k: int, target_recall: float) -> tuple[float, float]:
+    """The slack down to which queries open the leaves of so large a share of their true neighbours, and the share.
+
+    The first ``held_out`` queries were in no sample that the tree was fitted on, the others were: they lie
+    closer to the centres that they helped to make, and so need a slack of their own. The larger one holds.
+    """
     spark = rows.sparkSession
     own = nums.to_pylist()
     shared = spark.sparkContext.broadcast((own, held.astype(np.float64)))
@@ -337,11 +342,12 @@ def _calibrate(tree: Tree, subs: DataFrame | None, rows: DataFrame, nums, held:
 
         below = _with_trees(pairs, subs, inside, "q bigint, leaf bigint, key double").unionByName(pairs.join(subs.select("cell"), "cell", "left_anti").select(F.col("num").alias("q"), "leaf", F.lit(float("inf")).alias("key")))
         found = [(r["q"], r["leaf"], r["key"]) for r in below.collect()]
-    short = np.sort([max(0.0, home[own[q]] - min(float(key[q, leaf // SUB]), sub)) for q, leaf, sub in found])
-    if not len(short):
+    short = [(q < held_out, max(0.0, home[own[q]] - min(float(key[q, leaf // SUB]), sub))) for q, leaf, sub in found]
+    groups = [g for new in (True, False) if len(g := np.sort([d for is_new, d in short if is_new is new]))]
+    if not groups:
         return 2.0, 1.0
-    slack = float(short[min(len(short) - 1, math.ceil(target_recall * len(short)) - 1)]) + 1e-6
-    return slack, float((short <= slack).mean())
+    slack = max(float(g[min(len(g) - 1, math.ceil(target_recall * len(g)) - 1)]) for g in groups) + 1e-6
+    return slack, min(float((g <= slack).mean()) for g in groups)
 
 
 _VISIT = "num bigint, vector array<float>, block bigint, leaves array<bigint>"
@@ -447,6 +453,45 @@ def class_neighbours(index: Index, k: int) -> DataFrame:
         return pa.table({"num": pa.array(qnum, pa.int64()), "near": pa.ListArray.from_arrays(ends, near)})
 
     met = there.unionByName(come).groupBy("block", "mpart", "vpart").applyInArrow(compare, "num bigint, near array<struct<far:double,num:bigint>>")
+    found = durable(met.groupBy("num").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("near")))
+    # where the leaves that a vector visits have fewer than k others, it is compared with all
+    few = found.where(F.size("near") < min(k, found.count() - 1)).select("num")
+    if few.isEmpty():
+        return found
+    asked = index.rows.select("num", "vector").join(few, "num", "left_semi")
+    return found.join(few, "num", "left_anti").unionByName(brute_force(asked, index.rows.select("num", "vector"), k))
+
+
+def brute_force(queries: DataFrame, rows: DataFrame, k: int, block: int = 2_048) -> DataFrame:
+    """(num, near) of each query (num, vector) by comparison with all ``rows``, as ``class_neighbours`` gives them.
+    Queries and rows meet in pairs of blocks, so neither is ever held as a whole."""
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.sort_by("num")
+        return pa.table({"b": [t["b"][0].as_py()], "nums": [np.asarray(t["num"]).tobytes()], "x": [matrix(t["vector"]).tobytes()]})
+
+    def packed(df: DataFrame, step: int) -> DataFrame:
+        placed = numbered(df, "place", "num").select(F.floor(F.col("place") / step).alias("b"), "num", "vector")
+        return durable(placed.groupBy("b").applyInArrow(pack, "b bigint, nums binary, x binary"))
+
+    asked, there = packed(queries, block), packed(rows, 2 * block)
+    last = asked.agg(F.max("b")).first()[0]
+    if last is None:
+        return queries.select("num", F.array().cast("array<struct<far:double,num:bigint>>").alias("near"))
+
+    def meet(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                q, m = np.frombuffer(r["qnums"], np.int64), np.frombuffer(r["nums"], np.int64)
+                sims = np.frombuffer(r["qx"]).reshape(len(q), -1) @ np.frombuffer(r["x"]).reshape(len(m), -1).T
+                sims[q[:, None] == m[None, :]] = -9
+                i, j = _best(sims, k)
+                ends = np.searchsorted(i, np.arange(len(q) + 1)).astype(np.int32)
+                near = pa.StructArray.from_arrays([pa.array(-np.round(sims[i, j], 9)), pa.array(m[j])], names=["far", "num"])
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.ListArray.from_arrays(ends, near)], names=["num", "near"])
+
+    pairs = there.select("nums", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))).alias("qb"))
+    met = pairs.join(asked.select(F.col("b").alias("qb"), F.col("nums").alias("qnums"), F.col("x").alias("qx")), "qb").repartition(F.xxhash64("qb", "nums")).mapInArrow(meet, "num bigint, near array<struct<far:double,num:bigint>>")
     return met.groupBy("num").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
 
 
@@ -491,38 +536,13 @@ def _of_rows(vectors: DataFrame, classes: DataFrame, found: DataFrame, k: int) -
 
 def recall(vectors: DataFrame, k: int = 5, target_recall: float = 0.985, every: int = 50, block: int = 2_048) -> DataFrame:
     """(queries, pairs, found, recall, calibrated, slack): the search against brute force, of every distinct vector whose
-    number is divisible by ``every``, over all distinct vectors. Queries and rows meet in pairs of blocks,
-    so neither is ever held as a whole. ``calibrated`` is what held-out queries reached."""
+    number is divisible by ``every``, over all distinct vectors. ``calibrated`` is what the calibration's queries reached."""
     classes = classes_of(vectors, k)
     index = build_index(classes, k, target_recall)
     asked = F.col("num") % every == 0
-    got = class_neighbours(index, k).where(asked).select("num", F.explode("near.num").alias("other"))
-
-    def pack(t: pa.Table) -> pa.Table:
-        t = t.sort_by("num")
-        return pa.table({"b": [t["b"][0].as_py()], "nums": [np.asarray(t["num"]).tobytes()], "x": [matrix(t["vector"]).tobytes()]})
-
-    def packed(df: DataFrame, step: int) -> DataFrame:
-        return durable(df.select(F.floor(F.col("num") / step).alias("b"), "num", "vector").groupBy("b").applyInArrow(pack, "b bigint, nums binary, x binary"))
-
-    queries, rows = packed(classes.where(asked), every * block), packed(classes, 2 * block)
-    blocks = queries.select("b")
-
-    def meet(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                q, m = np.frombuffer(r["qnums"], np.int64), np.frombuffer(r["nums"], np.int64)
-                sims = np.frombuffer(r["qx"]).reshape(len(q), -1) @ np.frombuffer(r["x"]).reshape(len(m), -1).T
-                sims[q[:, None] == m[None, :]] = -9
-                i, j = _best(sims, k)
-                yield pa.RecordBatch.from_arrays([pa.array(q[i]), pa.array(m[j]), pa.array(np.round(sims[i, j], 9))], names=["num", "other", "sim"])
-
-    all_blocks = F.broadcast(blocks.agg(F.sort_array(F.collect_list("b")).alias("qbs")))  # a number per 100,000 vectors
-    pairs = rows.crossJoin(all_blocks).select("nums", "x", F.explode("qbs").alias("qb"))  # with a single row
-    met = pairs.join(queries.select(F.col("b").alias("qb"), F.col("nums").alias("qnums"), F.col("x").alias("qx")), "qb").repartition(F.xxhash64("qb", "nums")).mapInArrow(meet, "num bigint, other bigint, sim double")
-    w = Window.partitionBy("num").orderBy(F.desc("sim"), "other")
-    truth = met.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).select("num", "other")
-    hit = truth.join(got.withColumn("hit", F.lit(True)), ["num", "other"], "left")
-    return hit.agg(
+    listed = lambda df: df.select("num", F.explode("near.num").alias("other"))
+    got = listed(class_neighbours(index, k).where(asked)).withColumn("hit", F.lit(True))
+    truth = listed(brute_force(classes.where(asked).select("num", "vector"), classes.select("num", "vector"), k, block))
+    return truth.join(got, ["num", "other"], "left").agg(
         F.count_distinct("num").alias("queries"), F.count("*").alias("pairs"), F.count_if("hit").alias("found"), F.round(F.count_if("hit") / F.greatest(F.count("*"), F.lit(1)), 4).alias("recall")
     ).select("*", F.lit(round(index.recall, 4)).alias("calibrated"), F.lit(round(index.slack, 6)).alias("slack"))
