@@ -4,8 +4,9 @@ Items are dealt by hash into sub-problems of bounded size. Each sub-problem is s
 islands, groups of their own that evolve a population of packings: crossover injects whole
 well-filled containers of one parent into the other, removes the items that these repeat, and puts
 what was displaced back by best fit. Between rounds every island's elite migrates to the next one in
-a ring, through a shuffle. The best packing of a sub-problem wins; its poorly filled containers are
-emptied and their items meet those of other sub-problems in a further pass.
+a ring, through a shuffle; the rounds of a pass are one plan, which writes no table on the way. The
+best packing of a sub-problem wins; its poorly filled containers are emptied and their items meet
+those of other sub-problems in a further pass.
 """
 
 from __future__ import annotations
@@ -107,10 +108,10 @@ def evolve(sizes: dict[int, int], population: list[list[list[int]]], capacity: i
     return [p for _, _, p in scored]
 
 
-def _islands(items: DataFrame, seed: int) -> DataFrame:
-    """One pass over (kind, capacity, part, item, n): (kind, capacity, part, bin, members, fill)."""
+def _islands(items: DataFrame, seed: int, problems: int) -> DataFrame:
+    """One pass over (kind, capacity, part, item, n) in so many parts: (kind, capacity, part, bin, members, fill)."""
     schema = "kind string, capacity bigint, part bigint, island int, fit double, bins array<array<bigint>>, items array<bigint>, sizes array<bigint>"
-    start = durable(items.groupBy("kind", "capacity", "part").agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("x")))
+    start = items.groupBy("kind", "capacity", "part").agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("x"))
     population = start.select(
         "kind", "capacity", "part", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"), F.lit(0.0).alias("fit"),
         F.array().cast("array<array<bigint>>").alias("bins"), F.col("x.item").alias("items"), F.col("x.n").alias("sizes"),
@@ -120,7 +121,7 @@ def _islands(items: DataFrame, seed: int) -> DataFrame:
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             row = pdf.iloc[0]
             sizes = dict(zip(map(int, row["items"]), map(int, row["sizes"])))
-            came = [[list(map(int, g)) for g in bins] for bins in pdf["bins"] if len(bins)]
+            came = sorted([list(map(int, g)) for g in bins] for bins in pdf["bins"] if len(bins))  # in whatever order they arrive
             s = hash((seed, number, int(row["part"]), int(row["island"]), int(row["capacity"])))  # of integers: the same in every process
             best = evolve(sizes, came, int(row["capacity"]), s)
             out = pdf.iloc[[0] * min(2, len(best))].copy()  # an island's elite goes on: to itself and to its neighbour
@@ -131,16 +132,15 @@ def _islands(items: DataFrame, seed: int) -> DataFrame:
         return run
 
     # a task is a handful of islands: by a number of its own, as by bytes they would all be one
-    tasks = max(1, min(start.count() * ISLANDS // ISLANDS_A_TASK, 20_000))
+    tasks = max(1, min(problems * ISLANDS // ISLANDS_A_TASK, 20_000))
     for number in range(ROUNDS):
         evolved = population.repartition(tasks, "kind", "capacity", "part", "island").groupBy("kind", "capacity", "part", "island").applyInPandas(one_round(number), schema)
         if number + 1 < ROUNDS:  # migration along the ring
             population = evolved.withColumn("island", F.explode(F.array("island", ((F.col("island") + 1) % ISLANDS).cast("int"))))
-            population = durable(population)
         else:
             population = evolved
     w = Window.partitionBy("kind", "capacity", "part").orderBy(F.desc("fit"), "island", F.hash("bins"))
-    best = durable(population.withColumn("rn", F.row_number().over(w)).where("rn = 1"))
+    best = population.withColumn("rn", F.row_number().over(w)).where("rn = 1")
     size_of = F.map_from_arrays("items", "sizes")
     return best.select("kind", "capacity", "part", size_of.alias("size_of"), F.posexplode("bins").alias("bin", "members")).select(
         "kind", "capacity", "part", "bin",
@@ -178,7 +178,7 @@ def pack(sized: DataFrame, capacities: DataFrame, items_per_part: int = ITEMS, s
         count = left.groupBy("kind").agg(F.count("*").alias("items_of_kind"))
         parts = F.greatest(F.floor(F.col("items_of_kind") / items_per_part), F.lit(1))
         dealt = left.join(F.broadcast(count), "kind").withColumn("part", F.pmod(F.xxhash64(F.lit(seed + number), "item"), parts)).select("kind", "capacity", "part", "item", "n")
-        bins = _islands(dealt, seed + number)
+        bins = _islands(dealt, seed + number, count.agg(F.sum(parts)).first()[0] or 0)
         last = number + 1 == PASSES
         bins = durable(bins.withColumn("keep", F.lit(True) if last else F.col("fill") >= FULL_ENOUGH))
         kept = bins.where("keep").select(

@@ -35,6 +35,25 @@ def test_pack_keeps_every_token_and_no_container_overflows(spark):
     assert packing.pack(sized.limit(0), caps).count() == 0
 
 
+def test_pack_writes_no_table_between_rounds(spark, monkeypatch):
+    # on a local disk every file starts a few programs, and each of them is for a moment a second process as large as the executor
+    files, durable = [], packing.durable
+
+    def counted(df):
+        out = durable(df)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(packing, "durable", counted)
+    monkeypatch.setattr(packing, "PASSES", 1)
+    sized = spark.createDataFrame([(i, 1 + i * 37 % 60) for i in range(400)], "doc_id bigint, n_tokens bigint")
+    caps = spark.createDataFrame([("small", 64)], "container_kind string, capacity_tokens int")
+    rows = packing.pack(sized, caps, items_per_part=5).collect()
+    assert len(rows) == 400 and 0 < sum(files) < 400 // 5 * packing.ISLANDS // packing.ISLANDS_A_TASK  # fewer than one round has tasks
+    again = packing.pack(sized.repartition(7), caps, items_per_part=5).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
 def test_crossover_keeps_items():
     rng = random.Random(3)
     sizes = {i: rng.randint(1, 60) for i in range(80)}
